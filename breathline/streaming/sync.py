@@ -1,0 +1,59 @@
+"""Replication as a streaming sink."""
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from breathline.operators.filters import filter_newer_than
+from breathline.schema import READING
+from breathline.session import frozen
+from breathline.sources.readings import COLUMNS
+
+SEED_BATCH = -1
+
+
+def _write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
+    """Store one batch and then its marks, each in a folder a repeated batch overwrites."""
+    spark = rows.sparkSession
+    data, marks = f"{root}/data/batch={batch_id}", f"{root}/marks/batch={batch_id}"
+    rows.select(*COLUMNS).write.mode("overwrite").parquet(data)
+    (
+        spark.read.schema(READING).parquet(data)
+        .groupBy("device_id").agg(F.max("id").alias("last_id"))
+        .write.mode("overwrite").parquet(marks)
+    )
+
+
+def seed_store(rows: DataFrame, root: str) -> None:
+    """Start a store from rows that are there already."""
+    _write_batch(rows, root, SEED_BATCH)
+
+
+def stored_rows(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(READING).parquet(f"{root}/data/batch=*")
+
+
+def sync_sink(root: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: append rows above each device's mark, once.
+
+    The marks of earlier batches are kept beside the data, so a batch reads one small
+    row per device and batch instead of scanning the store. A repeated batch sees the
+    same earlier marks and replaces its own output.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = (
+            spark.read.schema("device_id string, last_id bigint, batch bigint").parquet(f"{root}/marks")
+            .filter(F.col("batch") < batch_id)
+            .groupBy("device_id").agg(F.max("last_id").alias("last_id"))
+        )
+        _write_batch(filter_newer_than(batch.select(*COLUMNS), frozen(earlier)), root, batch_id)
+    return write
+
+
+def start_sync(source: DataFrame, root: str, checkpoint: str, **trigger):
+    """Run the sync sink on a stream of readings. Seed the store first, even with no rows."""
+    return (
+        source.writeStream.foreachBatch(sync_sink(root))
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
