@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 # a type suffix such as ``1d`` is not (a bare cast would take it).
 _DIGITS = r"\d+(?:_\d+)*"
 NUMBER = rf"^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
+_IGNORED = " \t\n\r\f\v_"
 INFINITE = r"(?i)^\s*[+-]?inf(?:inity)?\s*$"
 NOT_A_NUMBER = r"(?i)^\s*[+-]?nan\s*$"
 
@@ -23,8 +24,8 @@ TENTHS_MAX = 65535
 def parse_number(text: Column) -> Column:
     """Text to double; NULL when the text is not a number."""
     return (
-        F.when(text.rlike(NUMBER), F.regexp_replace(text, r"[\s_]", "").try_cast("double"))
-        .when(text.rlike(INFINITE), F.trim(F.regexp_replace(text, r"\s", "")).try_cast("double"))
+        F.when(text.rlike(NUMBER), F.translate(text, _IGNORED, "").try_cast("double"))
+        .when(text.rlike(INFINITE), F.translate(text, _IGNORED, "").try_cast("double"))
         .when(text.rlike(NOT_A_NUMBER), F.lit(float("nan")))
     )
 
@@ -77,3 +78,12 @@ def tenths_status(tenths: Column) -> Column:
 def decode_tenths(tenths: Column) -> Column:
     """Tenths of ppm to ppm as double (a decimal literal would give DECIMAL)."""
     return tenths.cast("double") / F.lit(10.0)
+
+
+def round_stat(value: Column, digits: int = 3) -> Column:
+    """Half-even rounding that the order of summation cannot tip.
+
+    A mean of two-decimal values often lies on a tie; the noise of the sum is rounded
+    off first, so every plan rounds the tie the same way.
+    """
+    return F.bround(F.round(value, 9), digits)

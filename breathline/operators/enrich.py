@@ -3,7 +3,6 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from breathline.functions.numbers import decode_tenths
-from breathline.plans.sizing import broadcast_if_small
 
 
 def decode_readings(readings: DataFrame) -> DataFrame:
@@ -15,8 +14,12 @@ def decode_readings(readings: DataFrame) -> DataFrame:
 
 
 def join_ranges(readings: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Keep every reading and add its sensor's limits, NULL where there are none."""
-    return readings.join(broadcast_if_small(ranges), "sensor_id", "left")
+    """Keep every reading and add its sensor's limits, NULL where there are none.
+
+    Limits come from a file, whose size Catalyst knows: it broadcasts them below the
+    session's threshold, beyond that it shuffles and AQE splits a hot sensor.
+    """
+    return readings.join(ranges, "sensor_id", "left")
 
 
 def in_range(value: Column, low: Column, high: Column, null_bounds: str = "unbounded") -> Column:

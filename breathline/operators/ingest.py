@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from breathline.functions import lines as L
 from breathline.functions import numbers as N
-from breathline.plans.sizing import broadcast_if_small
 
 
 def channel_counts(lut: DataFrame) -> DataFrame:
@@ -24,7 +23,7 @@ def classify_lines(raw: DataFrame, lut: DataFrame | None = None) -> DataFrame:
     )
     arity_wrong = F.lit(False)
     if lut is not None:
-        parsed = parsed.join(broadcast_if_small(channel_counts(lut)), "device_id", "left")
+        parsed = parsed.join(channel_counts(lut), "device_id", "left")
         arity_wrong = F.size("values") != F.coalesce("n_channels", F.lit(-1))
     reason = (
         F.when(F.coalesce(F.length("line"), F.lit(0)) == 0, "empty")
@@ -55,9 +54,11 @@ def wide_to_long(wide: DataFrame, lut: DataFrame, value: str = "v", mask: bool =
 
     ``mask`` turns values outside the valid range into NULL; by default they pass.
     """
+    # The outer form spares a second parse: for the inner one Catalyst infers a filter
+    # on the array's size and pushes it, parsing included, below the projection.
     long = wide.select(
         *[c for c in wide.columns if c not in ("values", "text", "line")],
-        F.posexplode("values").alias("channel", value),
+        F.posexplode_outer("values").alias("channel", value),
     )
     if mask:
         long = long.withColumn(value, N.mask_range(F.col(value)))
@@ -65,5 +66,5 @@ def wide_to_long(wide: DataFrame, lut: DataFrame, value: str = "v", mask: bool =
 
 
 def join_lut(long: DataFrame, lut: DataFrame) -> DataFrame:
-    """Channel position to sensor id."""
-    return long.join(broadcast_if_small(lut), ["device_id", "channel"])
+    """Channel position to sensor id. The look-up is a file; Catalyst broadcasts it by its size."""
+    return long.join(lut, ["device_id", "channel"])

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from breathline.functions import times as T
-from breathline.plans.chunks import with_lags, with_ordinal, with_states, with_time_buckets
+from breathline.functions.numbers import round_stat
+from breathline.plans.chunks import with_lags, with_states, with_time_buckets
 from breathline.plans.sizing import broadcast_if_small
 from breathline.schema import KEY
 from breathline.session import frozen
@@ -33,8 +34,8 @@ def trailing_stats(
     rows, frame = _frames(arrivals, KEY, window_s, time)
     v = F.col(value)
     return rows.withColumns({
-        "mean": F.bround(F.avg(v).over(frame), 3),
-        "sd": F.bround(F.stddev_pop(v).over(frame), 3),
+        "mean": round_stat(F.avg(v).over(frame)),
+        "sd": round_stat(F.stddev_pop(v).over(frame)),
         "n": F.count(v).over(frame),
     }).filter(~F.col("_halo")).select(
         *KEY, "id", time, v.alias("latest"), "mean", "sd", "n"

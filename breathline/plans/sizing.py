@@ -9,6 +9,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     """Hint a broadcast when ``df`` holds at most ``max_rows`` rows.
 
     A larger side gets no hint: the join then shuffles, and AQE splits its skewed
-    partitions. Pass a stored or frozen table, because the check reads it once.
+    partitions. For frozen results, whose size Catalyst does not know; the check reads
+    ``df`` once.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -320,7 +320,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT DISTINCT device_id FROM rd) all_devices""",
     # Looking back
     "trailing_stats": f"""WITH {ARRIVALS} SELECT device_id, sensor_id, id, ts, v AS latest,
-        round_even(avg(v) OVER w, 3) AS mean, round_even(stddev_pop(v) OVER w, 3) AS sd, count(*) OVER w AS n
+        round_even(round(avg(v) OVER w * 1000, 6), 0) / 1000 AS mean, round_even(round(stddev_pop(v) OVER w * 1000, 6), 0) / 1000 AS sd, count(*) OVER w AS n
         FROM arrivals WINDOW w AS (PARTITION BY device_id, sensor_id ORDER BY ts
             RANGE BETWEEN INTERVAL 2 HOUR PRECEDING AND CURRENT ROW)""",
     "trailing_minmax_scale": f"""WITH {LONG},
@@ -366,8 +366,8 @@ ORACLE: dict[str, str] = {
     "stream_trailing": f"""WITH {ARRIVALS},
         slides AS (
             SELECT *, unnest(range(1, 7)) + epoch_us(ts) // 3600000000 AS hour_end FROM arrivals)
-        SELECT device_id, sensor_id, make_timestamp(hour_end * 3600000000) AS "T", round_even(avg(v), 3) AS mean,
-               round_even(stddev_pop(v), 3) AS sd, max_by(v, ts) AS latest, count(*) AS n
+        SELECT device_id, sensor_id, make_timestamp(hour_end * 3600000000) AS "T", round_even(round(avg(v) * 1000, 6), 0) / 1000 AS mean,
+               round_even(round(stddev_pop(v) * 1000, 6), 0) / 1000 AS sd, max_by(v, ts) AS latest, count(*) AS n
         FROM slides GROUP BY device_id, sensor_id, hour_end
         HAVING make_timestamp(hour_end * 3600000000) <= (SELECT max(ts) FROM arrivals) - INTERVAL 1 HOUR""",
     "stream_join_ranges": f"WITH {DASH} SELECT * FROM dash",

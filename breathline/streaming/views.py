@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from breathline.functions.numbers import round_stat
 from breathline.operators.summary import running_summary
 from breathline.schema import KEY
 
@@ -26,7 +27,7 @@ def stream_trailing(
         F.max_by(v, time).alias("latest"), F.count(v).alias("n"),
     ).select(
         *KEY, F.col("window.end").cast("timestamp_ntz").alias("T"),
-        F.bround("mean", 3).alias("mean"), F.bround("sd", 3).alias("sd"), "latest", "n",
+        round_stat(F.col("mean")).alias("mean"), round_stat(F.col("sd")).alias("sd"), "latest", "n",
     )
 
 
