@@ -19,7 +19,7 @@ def classify_lines(raw: DataFrame, lut: DataFrame | None = None) -> DataFrame:
     """
     parsed = (
         raw.withColumn("text", L.trim_line(F.col("line")))
-        .withColumn("values", L.parse_fields(L.split_fields(F.col("text"))))
+        .withColumn("values", L.parse_line(F.col("text")))
     )
     arity_wrong = F.lit(False)
     if lut is not None:

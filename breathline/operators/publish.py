@@ -76,29 +76,41 @@ def carry_ticks(
     Periods still waiting at the end are left out.
     """
     sizes = {} if width is None else {"width": width}
+    full = min_readings
     ticks = (
         tick_number(lines, period_s, time).groupBy("device_id", "tick")
-        .agg(F.least(F.count(F.lit(1)), F.lit(min_readings)).cast("int").alias("n"))
+        .agg(F.least(F.count(F.lit(1)), F.lit(full)).cast("int").alias("n"))
     )
-
-    def carried(c: Column, n: Column) -> Column:
-        return F.when(c + n >= min_readings, F.lit(0)).otherwise(c + n)
-
-    states = with_states(ticks, ["device_id"], "tick", "n", min_readings, carried, **sizes)
-    # A waiting period holds a reading at least, so fewer than min_readings precede a full one.
-    reach = range(1, min_readings)
-    lagged = with_lags(
-        states, ["device_id"], "tick", F.struct("tick", "state"), n=min_readings - 1, **sizes
-    )
-    members, waiting = [F.col("tick")], F.col("state") > 0
-    for k in reach:
-        members.append(F.when(waiting, F.col(f"lag_{k}.tick")))
-        waiting = waiting & (F.col(f"lag_{k}.state") > 0)
-    return (
-        lagged.filter(F.col("state") + F.col("n") >= min_readings)
-        .select("device_id", F.col("tick").alias("close_tick"), F.explode(F.array(*members)).alias("tick"))
-        .filter(F.col("tick").isNotNull())
+    # Fewer than ``full`` periods can wait for one, as each holds a reading at least.
+    lags = [f"lag_{k}" for k in range(1, full)]
+    lagged = with_lags(ticks, ["device_id"], "tick", F.struct("tick", "n"), n=full - 1, **sizes)
+
+    # Nothing waits after a full period, so a full one that follows it stands alone and
+    # only the stretches with short ones have to be folded.
+    fresh = F.col("lag_1").isNull() | (F.col("lag_1.n") >= full)
+    alone = lagged.filter(fresh & (F.col("n") >= full)).select(
+        "device_id", F.col("tick").alias("close_tick"), "tick"
     )
+    restart = F.lit(full + 1)
+
+    def carried(waiting: Column, code: Column) -> Column:
+        total = F.when(code >= restart, code - restart).otherwise(waiting + code)
+        return F.when(total >= full, F.lit(0)).otherwise(total)
+
+    stretches = lagged.filter(~(fresh & (F.col("n") >= full)))
+    coded = stretches.withColumn("_code", F.when(fresh, restart).otherwise(0) + F.col("n"))
+    states = with_states(coded, ["device_id"], "tick", "_code", full, carried, carry=lags, **sizes)
+    started = F.col("_code") >= restart
+    closing = states.filter(~started & (F.col("state") + F.col("_code") >= full))
+    # Walk back until the waiting readings are accounted for.
+    members, missing = [F.col("tick")], F.col("state")
+    for lag in lags:
+        members.append(F.when(missing > 0, F.col(f"{lag}.tick")))
+        missing = missing - F.coalesce(f"{lag}.n", F.lit(0))
+    joined = closing.select(
+        "device_id", F.col("tick").alias("close_tick"), F.explode(F.array(*members)).alias("tick")
+    ).filter(F.col("tick").isNotNull())
+    return alone.unionByName(joined)
 
 
 def publish_median_carry(

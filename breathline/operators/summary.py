@@ -97,8 +97,8 @@ def last_per_key(readings: DataFrame) -> DataFrame:
 
 
 def _row_per_key(readings: DataFrame, pick) -> DataFrame:
-    row = F.struct("id", "T", "CO2_ppm")
-    return readings.groupBy(*KEY).agg(pick(row, "id").alias("_row")).select(*KEY, "_row.*")
+    # Column by column rather than as a struct: fixed-width buffers aggregate by hash.
+    return readings.groupBy(*KEY).agg(*[pick(c, "id").alias(c) for c in ("id", "T", "CO2_ppm")])
 
 
 def distinct_device_sensor(readings: DataFrame) -> DataFrame:

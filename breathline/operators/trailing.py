@@ -71,46 +71,67 @@ def trailing_minmax_scale(
 def trailing_warmup_gate(
     lines: DataFrame, window_s: int = WINDOW_S, warmup: int = WARMUP,
     pos: str = "line_id", time: str = "arrival_ts", min_elapsed_s: float | None = None,
-    lag_width: int | None = None, fold_width: int | None = None,
+    fold_width: int | None = None, bucket_windows: int = BUCKET_WINDOWS,
 ) -> DataFrame:
     """``emitted``: whether the live view draws a frame at this line.
 
     It draws once its buffer holds ``warmup`` rows, and drops old rows only when it
     draws, so after a long gap it has to fill up again. The state is the number of rows
-    left in the buffer (up to ``warmup - 1``); the frame's own size matters only up to
-    that, so the few preceding times are enough. Lines come in ``pos`` order.
-    ``min_elapsed_s`` also asks for that much time since the device's first line, which
-    only holds drawing back at the start.
+    left in the buffer, up to ``warmup - 1``. Lines come in ``pos`` order, which is also
+    their time order. ``min_elapsed_s`` also asks for that much time since the device's
+    first line, which only holds drawing back at the start.
     """
     enough = warmup - 1
     us = window_s * 1_000_000
     timed = lines.select("device_id", pos, T.micros(F.col(time)).alias("_us"))
-    lagged = with_lags(
-        timed, ["device_id"], pos, F.col("_us"), n=enough, prefix="_before_",
-        **({} if lag_width is None else {"width": lag_width}),
-    )
-    in_frame: Column = F.lit(1)
-    for k in range(1, warmup):
-        recent = F.col("_us") - F.col(f"_before_{k}") <= us
-        in_frame = in_frame + F.when(recent, 1).otherwise(0)
-    code = F.least(in_frame, F.lit(enough))
+    early = F.lit(False)
     if min_elapsed_s is not None:
         starts = timed.groupBy("device_id").agg(F.min("_us").alias("_start"))
-        lagged = lagged.join(broadcast_if_small(frozen(starts)), "device_id")
+        timed = timed.join(broadcast_if_small(frozen(starts)), "device_id")
         early = F.col("_us") - F.col("_start") < F.lit(int(min_elapsed_s * 1_000_000))
-        # A held-back line only fills the buffer; code 0 stands for it.
-        code = F.when(early, F.lit(0)).otherwise(code)
+    bucketed = with_time_buckets(timed.withColumn("_early", early), "_us", us, bucket_windows * us)
 
-    def fill(rows: Column, n: Column) -> Column:
-        held_or_filling = F.least(rows + 1, F.lit(enough))
-        return F.when((rows >= enough) & (n > 0), n).otherwise(held_or_filling)
+    # Only rows within the window count, and the bucket's copies hold all of those.
+    arrival = Window.partitionBy("device_id", "_bucket").orderBy("_us", pos)
+    before = {k: F.lag("_us", k).over(arrival) for k in range(1, warmup + 1)}
+    rows_in_frame: Column = F.lit(1)
+    for k in range(1, warmup):
+        rows_in_frame = rows_in_frame + F.when(F.col("_us") - before[k] <= us, 1).otherwise(0)
+    previous_full = (
+        (before[1] - before[warmup] <= us) & (F.col("_us") - before[1] <= us) & ~F.lag("_early", 1).over(arrival)
+    )
+    followed = F.lead("_us", 1).over(arrival) - F.col("_us") <= us
+    framed = bucketed.withColumns({
+        "_n": rows_in_frame,
+        "_known": F.coalesce(previous_full, F.lit(False)),
+        "_followed": F.coalesce(followed, F.lit(False)),
+    }).filter(~F.col("_halo"))
+
+    # A full frame leaves a full buffer whatever came before, so the line after it draws.
+    # The rest is folded: stretches of short frames, from the full one before them.
+    full = (F.col("_n") > enough) & ~F.col("_early")
+    plain = F.col("_known") & full & F.col("_followed")
+    after_full = F.lit(warmup + 1)
+    code = (
+        F.when(F.col("_early"), F.lit(0))
+        .when(F.col("_known"), after_full + F.col("_n")).otherwise(F.col("_n"))
+    )
+
+    def next_rows(rows: Column, c: Column) -> Column:
+        known = c > after_full
+        n = F.when(known, c - after_full).otherwise(c)
+        draws = known | ((rows >= enough) & (c > 0)) | (n > enough)
+        return F.least(F.when(draws, n).otherwise(rows + 1), F.lit(enough))
 
     states = with_states(
-        lagged.withColumn("_n", code), ["device_id"], pos, "_n", warmup, fill,
+        framed.filter(~plain).withColumn("_code", code), ["device_id"], pos, "_code", warmup, next_rows,
         **({} if fold_width is None else {"width": fold_width}),
     )
-    return states.select(
-        "device_id", pos, ((F.col("state") >= enough) & (F.col("_n") > 0)).alias("emitted")
+    c = F.col("_code")
+    draws = (c > after_full) | ((F.col("state") >= enough) & (c > 0)) | (c > enough)
+    return (
+        framed.filter(plain).select("device_id", pos, F.lit(True).alias("emitted"))
+        .unionByName(states.select("device_id", pos, draws.alias("emitted")))
     )
 
 

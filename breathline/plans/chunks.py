@@ -25,14 +25,7 @@ def with_lags(
     """Add ``lag_1`` .. ``lag_n`` of ``value`` per key in ``pos`` order."""
     chunked = df.withColumn("_chunk", _chunk(pos, width)).withColumn("_value", value)
     cell = [*keys, "_chunk"]
-    backwards = Window.partitionBy(*cell).orderBy(F.desc(pos))
-    tails = (
-        chunked.select(*cell, pos, "_value")
-        .withColumn("_rank", F.row_number().over(backwards))
-        .filter(F.col("_rank") <= n)
-        .groupBy(*cell)
-        .agg(F.sort_array(F.collect_list(F.struct(pos, "_value"))).alias("_tail"))
-    )
+    tails = _last_rows(chunked.select(*cell, pos, "_value"), cell, pos, n)
     # Every chunk in ``tails`` has a row, so n chunks hold the n rows before this one.
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(-n, -1)
     carried = tails.select(*cell, F.flatten(F.collect_list("_tail").over(before)).alias("_carried"))
@@ -48,6 +41,18 @@ def with_lags(
     return joined.drop("_chunk", "_value", "_row", "_carried")
 
 
+def _last_rows(rows: DataFrame, cell: list[str], pos: str, n: int) -> DataFrame:
+    """The last ``n`` values of each cell in ``pos`` order, as the array ``_tail``."""
+    if n == 1:  # fixed-width buffers: aggregates by hash, without a sort
+        last = rows.groupBy(*cell).agg(F.max(pos).alias(pos), F.max_by("_value", pos).alias("_value"))
+        return last.select(*cell, F.array(F.struct(pos, "_value")).alias("_tail"))
+    backwards = Window.partitionBy(*cell).orderBy(F.desc(pos))
+    return (
+        rows.withColumn("_rank", F.row_number().over(backwards)).filter(F.col("_rank") <= n)
+        .groupBy(*cell).agg(F.sort_array(F.collect_list(F.struct(pos, "_value"))).alias("_tail"))
+    )
+
+
 def with_ordinal(
     df: DataFrame, keys: list[str], chunk: Column, order: list[str], name: str
 ) -> DataFrame:
@@ -73,19 +78,22 @@ def id_chunk(width: int = LAG_WIDTH) -> Column:
 
 def with_states(
     df: DataFrame, keys: list[str], pos: str, code: str, n_states: int,
-    step: Callable[[Column, Column], Column], width: int = FOLD_WIDTH, levels: int = 2,
+    step: Callable[[Column, Column], Column], carry: list[str] | None = None,
+    width: int = FOLD_WIDTH, levels: int = 2,
 ) -> DataFrame:
     """Run a small state machine over each key in ``pos`` order, starting in state 0.
 
-    Returns ``keys, pos, code, state`` with the state *before* each row. A chunk of
-    rows acts as a map from start state to end state, and maps compose, so chunks are
-    folded apart, level by level, and replayed once their start state is known. The
-    arrays hold at most ``width`` entries, those of the top level ``max(pos) / width**levels``.
+    Returns ``keys, pos, code, state`` and the ``carry`` columns, with the state *before*
+    each row. A chunk of rows acts as a map from start state to end state, and maps
+    compose, so chunks are folded apart, level by level, and replayed once their start
+    state is known. The arrays hold at most ``width`` entries, those of the top level
+    ``max(pos) / width**levels``.
     """
+    carry = carry or []
     rows = (
-        df.select(*keys, F.col(pos).alias("_pos"), F.col(code).cast("int").alias("_code"))
-        .groupBy(*keys, _chunk_of("_pos", width, 1))
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_code"))).alias("_items"))
+        df.select(*keys, F.col(pos).alias("_pos"), F.col(code).cast("int").alias("_code"), *carry)
+        .groupBy(*keys, F.expr(f"_pos div {width}L").alias("_c1"))
+        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_code", *carry))).alias("_items"))
     )
     identity = F.array(*[F.lit(s) for s in range(n_states)])
 
@@ -132,14 +140,10 @@ def with_states(
         F.col("_items"), starts(F.col("_start"), lambda s, item: step(s, item["_code"])).alias("_from")
     )).alias("_x")).select(
         *keys, F.col("_x._items._pos").alias(pos), F.col("_x._items._code").alias(code),
-        F.col("_x._from").alias("state"),
+        F.col("_x._from").alias("state"), *[F.col(f"_x._items.{c}").alias(c) for c in carry],
     )
 
 
-def _chunk_of(pos: str, width: int, level: int) -> Column:
-    return F.expr(f"{pos} div {width}L").alias(f"_c{level}")
-
-
 def with_time_buckets(df: DataFrame, us: str, window_us: int, bucket_us: int) -> DataFrame:
     """Cut time into ``_bucket``s and copy the last ``window_us`` of each into the next.
 

@@ -8,9 +8,9 @@ from breathline.operators.sync import mirror_rows, new_rows, numbered_chunks
 from breathline.plans.chunks import with_ordinal
 from breathline.plans.sizing import broadcast_if_small
 from breathline.session import frozen
-from breathline.sources.readings import COLUMNS, scan_readings
+from breathline.sources.readings import COLUMNS, month_of, scan_readings
 
-PARTITIONS = ["device_id", "day"]
+PARTITIONS = ["device_id", "month"]
 TABLE_COLUMNS = [c for c in COLUMNS if c not in PARTITIONS] + PARTITIONS
 
 
@@ -18,21 +18,20 @@ def create_table(spark: SparkSession, name: str, location: str) -> None:
     """The readings table, unless it is there already."""
     spark.sql(f"""
         CREATE TABLE IF NOT EXISTS {name} (
-            id BIGINT, T TIMESTAMP_NTZ, SENSOR INT, PPM_10X INT, device_id STRING, day DATE
-        ) USING parquet PARTITIONED BY (device_id, day) LOCATION '{location}'
+            id BIGINT, T TIMESTAMP_NTZ, SENSOR INT, PPM_10X INT, device_id STRING, month STRING
+        ) USING parquet PARTITIONED BY (device_id, month) LOCATION '{location}'
     """)
 
 
 def _laid_out(rows: DataFrame) -> DataFrame:
     """Rows in the table's column order, spread for writing.
 
-    The range shuffle gives each task whole (device, day) runs of similar size, so small
-    devices share a task, a hot one spreads over many, and files stay few. Within a
+    Rebalancing gathers a partition's rows in one task, and AQE splits a hot one over
+    several and lets small ones share, so files stay few and of similar size. Within a
     file rows are in time order, which keeps the row-group statistics of ``T`` narrow.
     """
-    stored = rows.withColumn("day", F.to_date("T")).select(*TABLE_COLUMNS)
-    order = [*PARTITIONS, "T", "id"]
-    return stored.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = rows.withColumn("month", month_of(F.col("T"))).select(*TABLE_COLUMNS)
+    return stored.hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, "T", "id")
 
 
 def append_to_table(rows: DataFrame, name: str) -> None:

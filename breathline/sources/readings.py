@@ -1,23 +1,27 @@
-"""Stored readings: one table for all devices, partitioned by device and day."""
+"""Stored readings: one table for all devices, partitioned by device and month."""
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from breathline.schema import RANGES, READING
 
 COLUMNS = READING.fieldNames()
-STORED = T.StructType([*READING.fields, T.StructField("day", T.DateType())])
+STORED = T.StructType([*READING.fields, T.StructField("month", T.StringType())])
 
 
 def scan_readings(spark: SparkSession, path: str) -> DataFrame:
-    """All devices. The ``day`` partition column stays, so that time filters can prune."""
+    """All devices. The ``month`` partition column stays, so that time filters can prune."""
     return spark.read.schema(STORED).parquet(path)
 
 
+def month_of(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM")
+
+
 def time_filter(readings: DataFrame, start: Column, end: Column) -> DataFrame:
-    """Rows with ``T`` in ``[start, end]``; also prunes by ``day`` where that column exists."""
+    """Rows with ``T`` in ``[start, end]``; also prunes by ``month`` where that column exists."""
     kept = readings.filter(F.col("T").between(start, end))
-    if "day" in readings.columns:
-        kept = kept.filter(F.col("day").between(start.cast("date"), end.cast("date")))
+    if "month" in readings.columns:
+        kept = kept.filter(F.col("month").between(month_of(start), month_of(end)))
     return kept
 
 
