@@ -1,0 +1,203 @@
+"""Chunked operators against plain Python, with chunks small enough to be crossed."""
+
+import datetime as dt
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from breathline.operators import enrich, publish, sync, trailing
+from breathline.plans import chunks
+from breathline.schema import READING
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def skewed(rng, n):
+    """(key, pos) with unique, gappy positions; key 0 holds most rows."""
+    keys = [0 if rng.random() < 0.7 else rng.randrange(1, 5) for _ in range(n)]
+    return list(zip(keys, rng.sample(range(n * 6), n)))
+
+
+def per_key(rows):
+    groups = {}
+    for key, pos, *rest in sorted(rows):
+        groups.setdefault(key, []).append((pos, *rest))
+    return groups
+
+
+@pytest.mark.parametrize("seed, n", [(1, 1), (2, 2), (3, 4)])
+def test_lags(spark, seed, n):
+    rows = skewed(random.Random(seed), 300)
+    frame = spark.createDataFrame(rows, "key int, pos bigint")
+    got = {
+        (r.key, r.pos): [r[f"lag_{k}"] for k in range(1, n + 1)]
+        for r in chunks.with_lags(frame, ["key"], "pos", F.col("pos") * 10, n=n, width=7).collect()
+    }
+    for key, group in per_key(rows).items():
+        pos = [p for p, in group]
+        for i, p in enumerate(pos):
+            assert got[key, p] == [pos[i - k] * 10 if i >= k else None for k in range(1, n + 1)]
+    assert len(got) == len(rows)
+
+
+def test_lag_of_missing_value_stays_missing(spark):
+    frame = spark.createDataFrame([(0, 1, None), (0, 2, 5), (0, 9, None), (0, 30, 7)], "key int, pos bigint, v int")
+    got = chunks.with_lags(frame, ["key"], "pos", F.col("v"), width=8).orderBy("pos").collect()
+    assert [r.lag_1 for r in got] == [None, None, 5, None]
+
+
+def test_ordinals(spark):
+    rows = skewed(random.Random(4), 400)
+    frame = spark.createDataFrame(rows, "key int, pos bigint")
+    got = chunks.with_ordinal(frame, ["key"], F.expr("pos div 9"), ["pos"], "no").collect()
+    want = {(k, p): i for k, group in per_key(rows).items() for i, (p,) in enumerate(group, 1)}
+    assert {(r.key, r.pos): r.no for r in got} == want
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_states(spark, levels):
+    rng = random.Random(levels)
+    rows = [(k, p, rng.randrange(4)) for k, p in skewed(rng, 400)]
+    frame = spark.createDataFrame(rows, "key int, pos bigint, code int").withColumn("note", F.col("pos") + 1)
+
+    def step(s, c):
+        return F.when(c == 3, F.lit(0)).otherwise((s * 2 + c) % 5)
+
+    got = chunks.with_states(frame, ["key"], "pos", "code", 5, step, carry=["note"], width=6, levels=levels).collect()
+    want = {}
+    for key, group in per_key(rows).items():
+        state = 0
+        for pos, code in group:
+            want[key, pos] = (code, state, pos + 1)
+            state = 0 if code == 3 else (state * 2 + code) % 5
+    assert {(r.key, r.pos): (r.code, r.state, r.note) for r in got} == want
+
+
+def bursts(rng, n, span):
+    """Rising times in microseconds: dense runs, lone rows and long gaps."""
+    t, out = 0, []
+    for _ in range(n):
+        t += rng.choice([1, span // 9, span // 4, span // 2, span, span + 1, span * 3])
+        out.append(t)
+    return out
+
+
+def arrived(us):
+    return T0 + dt.timedelta(microseconds=us)
+
+
+def gate_model(times, window, warmup, min_elapsed=None):
+    """The live view's buffer, row by row."""
+    buffer, out = [], []
+    for t in times:
+        buffer.append(t)
+        if len(buffer) < warmup or (min_elapsed is not None and t - times[0] < min_elapsed):
+            out.append(False)
+            continue
+        buffer = [b for b in buffer if t - b <= window]
+        out.append(True)
+    return out
+
+
+@pytest.mark.parametrize("seed, elapsed", [(1, None), (2, None), (3, 300.0), (4, 45.0)])
+def test_gate_matches_buffer(spark, seed, elapsed):
+    rng, span = random.Random(seed), 20_000_000
+    times = {d: bursts(rng, n, span) for d, n in (("hot", 500), ("b", 90), ("c", 3), ("d", 60))}
+    rows = [(d, i * 3, arrived(t)) for d, ts in times.items() for i, t in enumerate(ts)]
+    lines = spark.createDataFrame(rows, "device_id string, line_id bigint, arrival_ts timestamp_ntz")
+    got = trailing.trailing_warmup_gate(lines, min_elapsed_s=elapsed, fold_width=8, bucket_windows=1).collect()
+    want = {}
+    for d, ts in times.items():
+        flags = gate_model(ts, span, 5, None if elapsed is None else elapsed * 1_000_000)
+        want.update({(d, i * 3): flag for i, flag in enumerate(flags)})
+    assert {(r.device_id, r.line_id): r.emitted for r in got} == want
+    assert len(got) == len(want)
+    assert len({flag for flag in want.values()}) == 2
+
+
+def carry_model(times, period, least):
+    """Tick by tick: publish when enough is buffered, else keep it."""
+    ticks = {}
+    for t in times:
+        ticks.setdefault(t // period, []).append(t)
+    buffer, out = [], []
+    for tick in sorted(ticks):
+        buffer += ticks[tick]
+        if len(buffer) >= least:
+            out.append(((tick + 1) * period, buffer))
+            buffer = []
+    return out
+
+
+@pytest.mark.parametrize("seed, least", [(1, 3), (2, 3), (3, 4), (4, 2)])
+def test_carry_matches_buffer(spark, seed, least):
+    rng, period = random.Random(seed), 10_000_000
+    epoch = int((T0 - dt.datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+    times = {d: bursts(rng, n, period) for d, n in (("hot", 400), ("b", 70), ("c", 2))}
+    value = {(d, t): float(rng.randrange(3000, 60000)) / 100 for d, ts in times.items() for t in ts}
+    rows = [(d, arrived(t), 1, value[d, t]) for d, ts in times.items() for t in ts]
+    long = spark.createDataFrame(rows, "device_id string, arrival_ts timestamp_ntz, sensor_id int, v double")
+    got = publish.publish_median_carry(long.drop("sensor_id", "v"), long, 10, least, width=8).collect()
+    want = {
+        (d, arrived(end - epoch)): (len(buffer), round(statistics.median(value[d, t - epoch] * 10 for t in buffer), 6))
+        for d, ts in times.items() for end, buffer in carry_model([t + epoch for t in ts], period, least)
+    }
+    assert {(r.device_id, r.T): (r.n, round(r.tenths, 6)) for r in got} == want
+    assert len(got) == len(want)
+
+
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_trailing_stats_across_buckets(spark, buckets, monkeypatch):
+    monkeypatch.setattr(trailing, "BUCKET_WINDOWS", buckets)
+    rng, span = random.Random(buckets), 20_000_000
+    times = bursts(rng, 300, span)
+    value = [rng.randrange(30000) / 100 for _ in times]
+    rows = [("hot", i, arrived(t), 1, v) for i, (t, v) in enumerate(zip(times, value))]
+    arrivals = spark.createDataFrame(rows, "device_id string, id bigint, ts timestamp_ntz, sensor_id int, v double")
+    got = {r.id: r for r in trailing.trailing_stats(arrivals).collect()}
+    assert len(got) == len(rows)
+    for i, t in enumerate(times):
+        frame = [v for s, v in zip(times[: i + 1], value) if t - s <= span]
+        assert got[i].n == len(frame)
+        assert got[i]["mean"] == pytest.approx(statistics.mean(frame), abs=6e-4)
+        assert got[i].sd == pytest.approx(statistics.pstdev(frame), abs=6e-4)
+        assert got[i].latest == value[i]
+
+
+def hot_readings(spark, n=500):
+    rng = random.Random(9)
+    rows = [("hot" if i % 3 else f"d{i % 4}", i, arrived(i // 5 * 1_000_000), rng.randrange(2), rng.randrange(900)) for i in range(n)]
+    return rows, enrich.decode_readings(spark.createDataFrame(rows, READING))
+
+
+def test_gaps_and_series_order(spark):
+    rows, rd = hot_readings(spark)
+    series = {}
+    for device, i, t, sensor, _ in rows:
+        series.setdefault((device, sensor), []).append((t, i))
+    gaps = {r.id: r.gap for r in trailing.diff_time(rd, width=16).collect()}
+    numbers = {r.id: r.row_no for r in trailing.series_order(rd).collect()}
+    for group in series.values():
+        by_id = sorted(group, key=lambda x: x[1])
+        for before, after in zip([None, *by_id], by_id):
+            assert gaps[after[1]] == (None if before is None else (after[0] - before[0]).total_seconds())
+        assert [numbers[i] for _, i in sorted(group)] == list(range(1, len(group) + 1))
+
+
+def test_series_by_sensor_alone(spark):
+    rows, rd = hot_readings(spark)
+    got = trailing.series_order(rd, ["sensor_id"]).collect()
+    per_sensor = {}
+    for r in got:
+        per_sensor.setdefault(r.sensor_id, []).append(r.row_no)
+    assert all(sorted(v) == list(range(1, len(v) + 1)) for v in per_sensor.values())
+
+
+def test_chunk_numbers(spark):
+    rows, rd = hot_readings(spark)
+    got = {r.id: r.chunk_no for r in sync.numbered_chunks(rd, 10).collect()}
+    for device in {r[0] for r in rows}:
+        ids = sorted(r[1] for r in rows if r[0] == device)
+        assert [got[i] for i in ids] == [n // 10 for n in range(len(ids))]
