@@ -125,7 +125,7 @@ def trailing_warmup_gate(
 
     states = with_states(
         framed.filter(~plain).withColumn("_code", code), ["device_id"], pos, "_code", warmup, next_rows,
-        **({} if fold_width is None else {"width": fold_width}),
+        levels=3, **({} if fold_width is None else {"width": fold_width}),
     )
     c = F.col("_code")
     draws = (c > after_full) | ((F.col("state") >= enough) & (c > 0)) | (c > enough)

@@ -21,7 +21,8 @@ def events(spark: SparkSession, sf: str, streaming: bool = False) -> DataFrame:
     if not streaming:
         return table(spark, sf, "events")
     schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # As a pattern the path may be one file or a folder of files; a stream takes no plain file.
+    return spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
 
 
 def readings(spark: SparkSession, sf: str, streaming: bool = False) -> DataFrame:

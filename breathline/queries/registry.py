@@ -10,7 +10,7 @@ from breathline.functions import times as T
 from breathline.operators import enrich, filters, ingest, publish, reshape, summary, sync, trailing
 from breathline.queries import fixtures as fx
 from breathline.schema import READING
-from breathline.session import frozen, scratch, utc
+from breathline.session import scratch, utc
 from breathline.sinks import lines as line_sink
 from breathline.sinks import readings as sink
 from breathline.sources import lines as line_source
@@ -548,15 +548,18 @@ def stream_publish_tumbling(spark, sf):
 
 @query
 def stream_publish_carry(spark, sf):
-    """The feed comes in four parts, in arrival order, each drained before the next."""
-    feed, out = scratch(spark, "feed"), scratch(spark, "carry")
-    lines = frozen(fx.raw_lines(spark, sf))
-    cuts = ["2024-01-01", "2024-01-08", "2024-01-16", "2024-01-24", "2025-01-01"]
+    """The feed comes week by week, in arrival order, and each week is drained before the next.
+
+    A week of a device is bounded by its line rate; more data means more weeks.
+    """
+    staged, feed, out = scratch(spark, "weeks"), scratch(spark, "feed"), scratch(spark, "carry")
+    week = F.expr(f"unix_micros(CAST(arrival_ts AS TIMESTAMP)) div {7 * DAY * 1_000_000}L")
+    fx.raw_lines(spark, sf).withColumn("week", week).write.partitionBy("week").parquet(staged)
+    lines = spark.read.parquet(staged)
+    first, last = lines.agg(F.min("week"), F.max("week")).first()
     lut = fx.lut(spark, sf)
-    for start, end in zip(cuts, cuts[1:]):
-        part = (F.col("arrival_ts") >= F.lit(start).cast("timestamp_ntz")) & (
-            F.col("arrival_ts") < F.lit(end).cast("timestamp_ntz"))
-        lines.filter(part).write.mode("append").parquet(feed)
+    for number in range(first, last + 1):
+        lines.filter(F.col("week") == number).drop("week").write.mode("append").parquet(feed)
         arrived = ingest.accepted(ingest.classify_lines(
             line_source.scan_raw_lines(spark, feed, streaming=True), lut))
         pushed = live_publish.stream_publish_carry(arrived, 4 * HOUR)
