@@ -30,15 +30,17 @@ def with_lags(
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(-n, -1)
     carried = tails.select(*cell, F.flatten(F.collect_list("_tail").over(before)).alias("_carried"))
 
+    # Windows first: their sort then serves the join as well.
     inside = Window.partitionBy(*cell).orderBy(pos)
-    joined = chunked.join(carried, cell).withColumn("_row", F.row_number().over(inside))
-    for k in range(1, n + 1):
+    reach = range(1, n + 1)
+    windowed = chunked.withColumns({
+        "_row": F.row_number().over(inside), **{f"_in{k}": F.lag("_value", k).over(inside) for k in reach},
+    })
+    joined = windowed.join(carried, cell)
+    for k in reach:
         from_before = F.try_element_at("_carried", F.col("_row") - F.lit(k + 1))["_value"]
-        joined = joined.withColumn(
-            f"{prefix}{k}",
-            F.when(F.col("_row") > k, F.lag("_value", k).over(inside)).otherwise(from_before),
-        )
-    return joined.drop("_chunk", "_value", "_row", "_carried")
+        joined = joined.withColumn(f"{prefix}{k}", F.when(F.col("_row") > k, F.col(f"_in{k}")).otherwise(from_before))
+    return joined.drop("_chunk", "_value", "_row", "_carried", *[f"_in{k}" for k in reach])
 
 
 def _last_rows(rows: DataFrame, cell: list[str], pos: str, n: int) -> DataFrame:
@@ -66,9 +68,9 @@ def with_ordinal(
     )
     inside = Window.partitionBy(*cell).orderBy(*order)
     return (
-        chunked.join(offsets, cell)
-        .withColumn(name, F.col("_before") + F.row_number().over(inside))
-        .drop("_chunk", "_before")
+        chunked.withColumn("_row", F.row_number().over(inside)).join(offsets, cell)
+        .withColumn(name, F.col("_before") + F.col("_row"))
+        .drop("_chunk", "_before", "_row")
     )
 
 

@@ -16,7 +16,7 @@ from breathline.sinks import readings as sink
 from breathline.sources import lines as line_source
 from breathline.sources import readings as source
 from breathline.streaming import publish as live_publish
-from breathline.streaming import sync as live_sync
+from breathline.streaming import store
 from breathline.streaming import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -598,6 +598,8 @@ def stream_refresh_summary(spark, sf):
 @query
 def stream_sync_sink(spark, sf):
     root, checkpoint = scratch(spark, "store"), scratch(spark, "store-checkpoint")
-    live_sync.seed_store(fx.sync_target(spark, sf), root)
-    live_sync.start_sync(fx.readings(spark, sf, streaming=True), root, checkpoint, availableNow=True).awaitTermination()
-    return live_sync.stored_rows(spark, root).select(*READING.fieldNames())
+    store.seed_store(fx.sync_target(spark, sf), root)
+    store.start_store(
+        fx.readings(spark, sf, streaming=True), store.sync_sink(root), checkpoint, availableNow=True
+    ).awaitTermination()
+    return store.stored_rows(spark, root).select(*READING.fieldNames())

@@ -44,23 +44,23 @@ def append_readings(rows: DataFrame, path: str) -> None:
     _laid_out(rows).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
-def with_next_ids(rows: DataFrame, stored: DataFrame) -> DataFrame:
-    """Give published rows the ids after their device's highest, by time, then sensor.
+def with_next_ids(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Give published rows the ids after their device's ``last_id``, by time, then sensor.
 
     A device publishes one row per sensor and period, so the rows of a day are bounded.
     """
-    highest = frozen(stored.groupBy("device_id").agg(F.max("id").alias("_last")))
     numbered = with_ordinal(rows, ["device_id"], F.to_date("T"), ["T", "SENSOR"], "_no")
-    first = F.coalesce("_last", F.lit(0))
     return (
-        numbered.join(broadcast_if_small(highest), "device_id", "left")
-        .withColumn("id", first + F.col("_no")).select(*COLUMNS)
+        numbered.join(broadcast_if_small(marks), "device_id", "left")
+        .withColumn("id", F.coalesce("last_id", F.lit(0)) + F.col("_no")).select(*COLUMNS)
     )
 
 
 def write_published(encoded: DataFrame, path: str) -> None:
     """Append published rows to a stored table, ids included."""
-    append_readings(with_next_ids(encoded, scan_readings(encoded.sparkSession, path)), path)
+    stored = scan_readings(encoded.sparkSession, path)
+    marks = frozen(stored.groupBy("device_id").agg(F.max("id").alias("last_id")))
+    append_readings(with_next_ids(encoded, marks), path)
 
 
 def sync_incremental(source: DataFrame, target_path: str) -> None:

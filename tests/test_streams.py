@@ -4,11 +4,13 @@ import datetime as dt
 import random
 import statistics
 
-from breathline.operators import enrich, publish, summary
-from breathline.schema import RANGES, READING
+from breathline.operators import enrich, ingest, publish, summary
+from breathline.schema import LUT, RANGES, RAW_LINE, READING
 from breathline.session import scratch
+from breathline.sinks import lines as line_sink
+from breathline.sources import lines as line_source
 from breathline.streaming import publish as live
-from breathline.streaming import views
+from breathline.streaming import store, views
 
 T0 = dt.datetime(2024, 1, 1)
 LINES = "device_id string, line_id bigint, arrival_ts timestamp_ntz, values array<double>"
@@ -99,3 +101,47 @@ def test_refreshed_summary_equals_batch(spark):
     batch = summary.device_summary(enrich.decode_readings(spark.createDataFrame(rows, READING)), "2024-01-02 00:00:00")
     assert sorted(map(tuple, spark.read.parquet(f"{out}/rows").select(columns).collect())) == sorted(
         map(tuple, batch.select(columns).collect()))
+
+
+def test_lines_to_stored_readings(spark):
+    """Device lines in, numbered readings out, over a restart."""
+    lut = spark.createDataFrame([("a", 0, 3), ("a", 1, 4)], LUT)
+    texts = [f"{400 + i}.00,{700 if i != 5 else 9000}.00,\r\n" for i in range(12)]
+    texts[2] = "#boot\r\n"
+    rows = [("a", i, T0 + dt.timedelta(seconds=4 * i), text) for i, text in enumerate(texts)]
+    feed, root, checkpoint = (scratch(spark, n) for n in ("feed", "store", "checkpoint"))
+    store.seed_store(spark.createDataFrame([("a", 41, T0, 3, 1)], READING), root)
+    for part in (rows[:6], rows[6:]):
+        spark.createDataFrame(part, RAW_LINE).write.mode("append").parquet(feed)
+        raw = line_source.scan_raw_lines(spark, feed, streaming=True, files_per_batch=1000)
+        lines = ingest.accepted(ingest.classify_lines(raw, lut))
+        pushed = live.stream_publish_carry(lines)
+        store.start_store(pushed, store.publish_sink(root, lut), checkpoint, availableNow=True).awaitTermination()
+    got = sorted((r.id, (r["T"] - T0).seconds, r.SENSOR, r.PPM_10X) for r in store.stored_rows(spark, root).collect())
+    # Pushes at 12 s (lines 0, 1, 3), 24 s (4, 5, 6), 36 s (7, 8, 9).
+    assert got[1:] == [(42, 12, 3, 4010), (43, 12, 4, 7000), (44, 24, 3, 4050), (45, 24, 4, 7000),
+                       (46, 36, 3, 4080), (47, 36, 4, 7000)]
+
+
+def test_text_lines_as_table_stream_and_log(spark):
+    rows = [("a", 0, T0, "1,2,\r\n"), ("b", 1, T0 + dt.timedelta(microseconds=5), "3,\r\n"), ("a", 2, T0, "")]
+    raw = spark.createDataFrame(rows, RAW_LINE)
+    path, log, out = (scratch(spark, n) for n in ("text", "log", "out"))
+    trimmed = ingest.classify_lines(raw)
+    line_sink.write_lines(trimmed.select("device_id", trimmed.text.alias("line")), path)
+    want = [("a", "1,2,"), ("b", "3,")]
+    assert sorted(map(tuple, line_source.scan_text_lines(spark, path).collect())) == want
+    drain(line_source.scan_text_lines(spark, path, streaming=True), out)
+    assert sorted(map(tuple, spark.read.parquet(f"{out}/rows").collect())) == want
+    line_sink.write_lines(line_sink.log_lines(ingest.accepted(trimmed)), log)
+    got = sorted(map(tuple, line_source.scan_recorded_log(spark, log).select("epoch", "line").collect()))
+    assert got == [(1704067200.0, "1,2,"), (1704067200.000005, "3,")]
+
+
+def test_live_flags_keep_unmatched_readings(spark):
+    limits = spark.createDataFrame([(1, 700.0, 600.0, 800.0)], RANGES)
+    feed, out = scratch(spark, "readings"), scratch(spark, "flags")
+    spark.createDataFrame([("a", 1, T0, 1, 5000), ("a", 2, T0, 7, 5000)], READING).write.parquet(feed)
+    drain(enrich.flag_readings(spark.readStream.schema(READING).parquet(feed), limits), out)
+    got = {r.id: (r.set, r.in_range) for r in spark.read.parquet(f"{out}/rows").collect()}
+    assert got == {1: (700.0, False), 2: (None, True)}

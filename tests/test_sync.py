@@ -9,7 +9,7 @@ from breathline.schema import READING
 from breathline.session import scratch
 from breathline.sinks import readings as sink
 from breathline.sources import readings as source
-from breathline.streaming import sync as live_sync
+from breathline.streaming import store as live
 
 T0 = dt.datetime(2024, 1, 31, 23, 59)
 
@@ -95,20 +95,30 @@ def test_export_does_not_overwrite(spark):
 
 def test_repeated_batch_changes_nothing(spark):
     root = scratch(spark, "live")
-    live_sync.seed_store(frame(spark, rows("a", [0, 3])), root)
-    write = live_sync.sync_sink(root)
+    live.seed_store(frame(spark, rows("a", [0, 3])), root)
+    write = live.sync_sink(root)
     first, second = frame(spark, rows("a", range(6)) + rows("b", [0])), frame(spark, rows("a", range(8)))
     for batch_id, batch in [(0, first), (0, first), (1, second), (1, second)]:
         write(batch, batch_id)
-    got = sorted((r.device_id, r.id) for r in live_sync.stored_rows(spark, root).collect())
+    got = sorted((r.device_id, r.id) for r in live.stored_rows(spark, root).collect())
     assert got == [("a", 0), ("a", 3), ("a", 4), ("a", 5), ("a", 6), ("a", 7), ("b", 0)]
 
 
 def test_sync_stream_resumes(spark):
     feed, root, checkpoint = (scratch(spark, n) for n in ("feed", "live", "checkpoint"))
-    live_sync.seed_store(frame(spark, []), root)
+    live.seed_store(frame(spark, []), root)
     for ids in (range(3), range(5), []):
         frame(spark, rows("a", ids)).write.mode("append").parquet(feed)
         stream = spark.readStream.schema(READING).parquet(feed)
-        live_sync.start_sync(stream, root, checkpoint, availableNow=True).awaitTermination()
-    assert sorted(r.id for r in live_sync.stored_rows(spark, root).collect()) == [0, 1, 2, 3, 4]
+        live.start_store(stream, live.sync_sink(root), checkpoint, availableNow=True).awaitTermination()
+    assert sorted(r.id for r in live.stored_rows(spark, root).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_devices_of_a_catalog(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS devices_test")
+    for name in ("dev_a", "dev_b"):
+        spark.sql(f"CREATE TABLE devices_test.{name} (id BIGINT) USING parquet LOCATION '{scratch(spark, name)}'")
+    names = lambda df: sorted(r.device_id for r in df.collect())
+    assert names(source.discover_tables(spark, "devices_test")) == ["dev_a", "dev_b"]
+    assert names(source.discover_tables(spark, "devices_test", own="dev_a")) == ["dev_b"]
+    spark.sql("DROP DATABASE devices_test CASCADE")
