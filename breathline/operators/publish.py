@@ -99,7 +99,8 @@ def carry_ticks(
 
     stretches = lagged.filter(~(fresh & (F.col("n") >= full)))
     coded = stretches.withColumn("_code", F.when(fresh, restart).otherwise(0) + F.col("n"))
-    states = with_states(coded, ["device_id"], "tick", "_code", full, carried, carry=lags, **sizes)
+    # One level will do: ten years of ten-second periods make 15,000 chunks per device.
+    states = with_states(coded, ["device_id"], "tick", "_code", full, carried, carry=lags, levels=1, **sizes)
     started = F.col("_code") >= restart
     closing = states.filter(~started & (F.col("state") + F.col("_code") >= full))
     # Walk back until the waiting readings are accounted for.

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 LAG_WIDTH = 1 << 20
-FOLD_WIDTH = 1 << 10
+FOLD_WIDTH = 1 << 11
 
 
 def _chunk(pos: str, width: int) -> Column:

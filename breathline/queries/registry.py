@@ -386,7 +386,8 @@ def publish_median_masked(spark, sf):
 
 @query
 def publish_median_carry(spark, sf):
-    published = publish.publish_median_carry(accepted(spark, sf), long_readings(spark, sf), 2 * HOUR)
+    lines, lut = accepted(spark, sf), fx.lut(spark, sf)
+    published = publish.publish_median_carry(lines, ingest.wide_to_long(lines, lut), 2 * HOUR)
     return published.select("device_id", "sensor_id", "T", r6("tenths").alias("tenths"), "n")
 
 
