@@ -10,7 +10,7 @@ from breathline.functions import times as T
 from breathline.operators import enrich, filters, ingest, publish, reshape, summary, sync, trailing
 from breathline.queries import fixtures as fx
 from breathline.schema import READING
-from breathline.session import scratch, utc
+from breathline.session import scratch, streaming_session, utc
 from breathline.sinks import lines as line_sink
 from breathline.sinks import readings as sink
 from breathline.sources import lines as line_source
@@ -541,7 +541,8 @@ def stream_ingest(spark, sf):
 
 @query
 def stream_publish_tumbling(spark, sf):
-    long = ingest.wide_to_long(live_lines(spark, sf), fx.lut(spark, sf))
+    live = streaming_session(spark)
+    long = ingest.wide_to_long(live_lines(live, sf), fx.lut(live, sf))
     published = live_publish.stream_publish_tumbling(long, "1 hour", DAY)
     rows = run_to_parquet(spark, published, "tumbling")
     return rows.withColumn("tenths", r6("tenths"))
@@ -558,11 +559,12 @@ def stream_publish_carry(spark, sf):
     fx.raw_lines(spark, sf).withColumn("week", week).write.partitionBy("week").parquet(staged)
     lines = spark.read.parquet(staged)
     first, last = lines.agg(F.min("week"), F.max("week")).first()
-    lut = fx.lut(spark, sf)
+    live = streaming_session(spark)
+    lut = fx.lut(live, sf)
     for number in range(first, last + 1):
         lines.filter(F.col("week") == number).drop("week").write.mode("append").parquet(feed)
         arrived = ingest.accepted(ingest.classify_lines(
-            line_source.scan_raw_lines(spark, feed, streaming=True), lut))
+            line_source.scan_raw_lines(live, feed, streaming=True), lut))
         pushed = live_publish.stream_publish_carry(arrived, 4 * HOUR)
         (
             pushed.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint")
@@ -574,7 +576,8 @@ def stream_publish_carry(spark, sf):
 
 @query
 def stream_trailing(spark, sf):
-    view = views.stream_trailing(fx.arrivals(spark, sf, streaming=True), "1 hour", "6 hours", "1 hour")
+    arrivals = fx.arrivals(streaming_session(spark), sf, streaming=True)
+    view = views.stream_trailing(arrivals, "1 hour", "6 hours", "1 hour")
     return run_to_parquet(spark, view, "trailing")
 
 
@@ -586,7 +589,8 @@ def stream_join_ranges(spark, sf):
 
 @query
 def stream_refresh_summary(spark, sf):
-    rows = enrich.flag_readings(fx.readings(spark, sf, streaming=True), fx.ranges(spark, sf))
+    live = streaming_session(spark)
+    rows = enrich.flag_readings(fx.readings(live, sf, streaming=True), fx.ranges(live, sf))
     out = scratch(spark, "summary")
     views.start_refresh_summary(rows, f"{out}/rows", f"{out}/checkpoint", availableNow=True).awaitTermination()
     back = spark.read.parquet(f"{out}/rows")

@@ -46,6 +46,17 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def streaming_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session beside ``spark`` for stateful streams, by default with a state partition per core.
+
+    A stream keeps its number of shuffle partitions for the life of its checkpoint, and
+    AQE does not coalesce them.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism))
+    return utc(session)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch folder."""
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
