@@ -8,7 +8,7 @@ from breathline.operators.sync import mirror_rows, new_rows, numbered_chunks
 from breathline.plans.chunks import with_ordinal
 from breathline.plans.sizing import broadcast_if_small
 from breathline.session import frozen
-from breathline.sources.readings import COLUMNS, month_of, scan_readings
+from breathline.sources.readings import COLUMNS, STORED, month_of, scan_readings
 
 PARTITIONS = ["device_id", "month"]
 TABLE_COLUMNS = [c for c in COLUMNS if c not in PARTITIONS] + PARTITIONS
@@ -23,6 +23,12 @@ def create_table(spark: SparkSession, name: str, location: str) -> None:
     """)
 
 
+def create_store(spark: SparkSession, path: str) -> None:
+    """The same without a catalog: an empty store, unless there is one at ``path``."""
+    empty = spark.createDataFrame([], STORED)
+    empty.write.mode("ignore").partitionBy(*PARTITIONS).parquet(path)
+
+
 def _laid_out(rows: DataFrame) -> DataFrame:
     """Rows in the table's column order, spread for writing.
 
@@ -57,7 +63,8 @@ def with_next_ids(rows: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def write_published(encoded: DataFrame, path: str) -> None:
-    """Append published rows to a stored table, ids included."""
+    """Append published rows to a store, ids included; the store is created if need be."""
+    create_store(encoded.sparkSession, path)
     stored = scan_readings(encoded.sparkSession, path)
     marks = frozen(stored.groupBy("device_id").agg(F.max("id").alias("last_id")))
     append_readings(with_next_ids(encoded, marks), path)
@@ -65,6 +72,7 @@ def write_published(encoded: DataFrame, path: str) -> None:
 
 def sync_incremental(source: DataFrame, target_path: str) -> None:
     """Append what the target lacks above its marks; one append for all devices."""
+    create_store(source.sparkSession, target_path)
     target = scan_readings(source.sparkSession, target_path)
     append_readings(new_rows(source, target), target_path)
 
@@ -76,6 +84,8 @@ def sync_in_chunks(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def mirror(spark: SparkSession, own: str, local_path: str, central_path: str) -> None:
     """Push the own device to the central store, then pull every other device."""
+    for path in (local_path, central_path):
+        create_store(spark, path)
     push, pull = mirror_rows(own, scan_readings(spark, local_path), scan_readings(spark, central_path))
     append_readings(push, central_path)
     append_readings(pull, local_path)

@@ -122,3 +122,15 @@ def test_devices_of_a_catalog(spark):
     assert names(source.discover_tables(spark, "devices_test")) == ["dev_a", "dev_b"]
     assert names(source.discover_tables(spark, "devices_test", own="dev_a")) == ["dev_b"]
     spark.sql("DROP DATABASE devices_test CASCADE")
+
+
+def test_stores_are_created_when_absent(spark):
+    own, central, published = (scratch(spark, n) for n in ("own", "central", "published"))
+    sink.append_readings(frame(spark, rows("own", [0, 1])), own)
+    sink.mirror(spark, "own", own, central)
+    assert content(spark, central) == [("own", 0), ("own", 1)]
+    data = [("a", T0, 1, 10, 3)]
+    encoded = spark.createDataFrame(data, "device_id string, T timestamp_ntz, SENSOR int, PPM_10X int, n bigint")
+    for _ in range(2):
+        sink.write_published(encoded, published)
+    assert content(spark, published) == [("a", 1), ("a", 2)]
