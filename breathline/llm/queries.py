@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import lines, refine, sampling
+from breathline.llm import lines, refine, sampling, simhash
 from breathline.llm.common import table
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = sampling.sample_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
@@ -23,7 +28,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("content_sha256", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op6_mix_sources, op7_line_dedup, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op5_simhash, op6_mix_sources, op7_line_dedup, op9_exact_dedup)}
 
 _OP6 = r"""
 WITH d AS (
