@@ -40,3 +40,14 @@ def ascii_lower(text: Column) -> Column:
 def fixed(df: DataFrame) -> DataFrame:
     """A checkpoint of ``df`` in the shared folder; its lineage ends there."""
     return frozen(df)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """As ``fixed``, after which the shuffle files that led to ``df`` are given back.
+
+    Spark removes them once the driver's JVM has collected what refers to them, by default
+    every half hour; a step that moves much asks for it here, so that the next has the disk.
+    """
+    done = fixed(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return done

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import lines, refine, sampling, simhash
+from breathline.llm import debruijn, lines, refine, sampling, simhash
 from breathline.llm.common import table
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = debruijn.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -28,7 +33,25 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("content_sha256", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash, op6_mix_sources, op7_line_dedup, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op9_exact_dedup)}
+
+_OP4 = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+w AS (
+  SELECT doc_id, unnest(range(1, len(words) - 11)) AS pos,
+         unnest(list_transform(range(1, len(words) - 11), lambda i: array_to_string(words[i:i + 12], ' '))) AS edge
+  FROM d),
+f AS (SELECT edge, min(doc_id) AS first FROM w GROUP BY edge HAVING min(doc_id) < max(doc_id)),
+m AS (SELECT w.doc_id, w.pos FROM w JOIN f USING (edge) WHERE f.first < w.doc_id),
+g AS (SELECT DISTINCT doc_id, pos + i AS pos FROM m, (SELECT unnest(range(0, 13)) AS i)),
+a AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+k AS (
+  SELECT a.doc_id, count(g.pos) AS n_removed,
+         string_agg(a.word, ' ' ORDER BY a.pos) FILTER (g.pos IS NULL) AS kept
+  FROM a LEFT JOIN g USING (doc_id, pos) GROUP BY a.doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
 
 _OP6 = r"""
 WITH d AS (
@@ -83,4 +106,4 @@ g AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
-ORACLE = {"op6_mix_sources": _OP6, "op7_line_dedup": _OP7, "op9_exact_dedup": _OP9}
+ORACLE = {"op4_substring_dedup": _OP4, "op6_mix_sources": _OP6, "op7_line_dedup": _OP7, "op9_exact_dedup": _OP9}
