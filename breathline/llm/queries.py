@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import debruijn, lines, refine, sampling, simhash
+from breathline.llm import debruijn, lines, qgram_filter, refine, sampling, simhash
 from breathline.llm.common import table
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and benchmark item found in it."""
+    return qgram_filter.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = debruijn.remove_repeats(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -33,7 +38,9 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("content_sha256", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op9_exact_dedup,
+)}
 
 _OP4 = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
