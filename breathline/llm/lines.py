@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from breathline.llm.common import SPACE_CHARS, ascii_lower, id_or_last, whole
+from breathline.llm.common import SPACE_CHARS, ascii_lower, fixed, id_or_last, whole
 
 MIN_CHARS = 10
 MIN_DOCUMENTS = 2
@@ -44,8 +44,10 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
             one_each.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.count("*").alias("documents"))
             .where(F.col("documents") >= min_documents)
         )
+    # a table of its own, so that the join below deals both sides out and AQE can split a hot line
+    repeated = fixed(repeated.select("h1", "h2", "first"))
     lost = (
-        keys.join(repeated.select("h1", "h2", "first"), ["h1", "h2"]).where("doc > first")
+        keys.join(repeated, ["h1", "h2"]).where("doc > first")
         .groupBy("doc", "body").agg(F.collect_set("pos").alias("lost"))
     )
 
