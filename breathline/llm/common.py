@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from breathline.session import frozen
+from breathline.session import frozen, scratch
 
 #: White space as the contracts have it: the space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]"
@@ -44,12 +47,26 @@ def fixed(df: DataFrame) -> DataFrame:
     return frozen(df)
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """As ``fixed``, after which the shuffle files that led to ``df`` are given back.
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """As ``fixed`` of what ``make`` returns, after which the shuffle files behind it are given back.
 
     Spark removes them once the driver's JVM has collected what refers to them, by default
     every half hour; a step that moves much asks for it here, so that the next has the disk.
     """
-    done = fixed(df)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    done = fixed(make())
+    gc.collect()
+    done.sparkSession.sparkContext._jvm.System.gc()
     return done
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` as a Parquet table in the shared folder, and its path, for ``discarded``."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discarded(spark: SparkSession, path: str) -> None:
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)

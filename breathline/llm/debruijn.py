@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from breathline.llm.common import fixed, id_or_last, last_to_null, settled
+from breathline.llm.common import discarded, fixed, id_or_last, last_to_null, settled, written
 from breathline.llm.wordhash import Spans, chunks, mixed, word_hashes
 
 WINDOW_WORDS = 13
@@ -122,8 +122,9 @@ def _window_rows(k: int, m: int):
                     continue
                 of = paths.text_of[paths.at]
                 which = np.flatnonzero(_held(of, paths.anchors, piece.column("branching"), len(texts)))
-                whose = piece.column("id").to_numpy(zero_copy_only=False)[of[which]]
-                yield pa.RecordBatch.from_pydict({"edge": _longs(paths.window_hashes(which)), "id": _longs(whose)})
+                whose = {c: piece.column(c).to_numpy(zero_copy_only=False)[of[which]] for c in ("doc", "spot")}
+                yield pa.RecordBatch.from_pydict(
+                    {"edge": _longs(paths.window_hashes(which))} | {c: _longs(v) for c, v in whose.items()})
     return run
 
 
@@ -166,40 +167,45 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
         raise ValueError("an anchor is a part of a window")
     # spot tells rows apart that repeat an id, so that no list grows past one text
     rows = docs.select(id_or_last(id).alias("doc"), F.xxhash64(id, text).alias("spot"), F.col(text).alias("text"))
-    by_doc = rows.select(F.col("doc").alias("id"), "text")
-    by_spot = rows.select(F.col("spot").alias("id"), "text")
-
-    paths = by_doc.mapInArrow(_path_rows(window, anchor, True), "anchor long, id long, body long")
-    shared = (
-        paths.groupBy("anchor")
-        .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.min("body").alias("low"), F.max("body").alias("high"))
-        .where("first < last").select("anchor", "first", (F.col("low") == F.col("high")).alias("is_through"))
-    )
-    shared = fixed(shared)
-    found = by_spot.mapInArrow(_path_rows(window, anchor, False), "anchor long, id long").join(shared, "anchor")
-    marks = settled(
-        found.groupBy(F.col("id").alias("spot")).agg(F.collect_set(F.struct("anchor", "first", "is_through")).alias("marks")))
+    shared = settled(lambda: _shared_paths(rows, window, anchor))
+    marks = settled(lambda: _marks(rows, shared, window, anchor))
 
     of = lambda test: F.transform(F.filter("marks", test), lambda m: m["anchor"])
-    marked = rows.join(marks, "spot", "left").select(
+    marked = lambda how: rows.join(marks, "spot", how).select(
         "doc", "spot", "text",
         of(lambda m: m["is_through"] & (m["first"] < F.col("doc"))).alias("through"),
         of(lambda m: ~m["is_through"]).alias("branching"),
     )
-    branching = marked.where(F.size("branching") > 0)
-    edge_rows = lambda whose: branching.select(F.col(whose).alias("id"), "text", "branching").mapInArrow(
-        _window_rows(window, anchor), "edge long, id long")
+    single, path = written(
+        marked("inner").where(F.size("branching") > 0).mapInArrow(_window_rows(window, anchor), "edge long, doc long, spot long"),
+        "edges")
     repeated = fixed(
-        edge_rows("doc").groupBy("edge").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-        .where("first < last").select("edge", "first")
-    )
-    edges = (
-        edge_rows("spot").join(repeated, "edge").groupBy(F.col("id").alias("spot"))
-        .agg(F.collect_set(F.struct("edge", "first")).alias("edges"))
-    )
-    full = marked.join(edges, "spot", "left").select(
-        F.col("doc").alias("id"), "text", "through", "branching",
-        F.transform(F.filter("edges", lambda e: e["first"] < F.col("doc")), lambda e: e["edge"]).alias("edges"),
-    )
+        single.groupBy("edge").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+        .where("first < last").select("edge", "first"))
+    edges = settled(lambda: (
+        single.join(repeated, "edge").where("first < doc").groupBy("spot").agg(F.collect_set("edge").alias("edges"))))
+    discarded(docs.sparkSession, path)
+
+    full = marked("left").join(edges, "spot", "left").select(F.col("doc").alias("id"), "text", "through", "branching", "edges")
     cleaned = full.mapInArrow(_cleaned(window, anchor), "id long, kept_text string, n_words long, n_removed long")
     return cleaned.select(last_to_null(F.col("id")).alias(id), "kept_text", "n_words", "n_removed")
+
+
+def _shared_paths(rows: DataFrame, window: int, anchor: int) -> DataFrame:
+    """Anchors found in several documents: the first of these, and whether all their paths are equal."""
+    paths = rows.select(F.col("doc").alias("id"), "text").mapInArrow(
+        _path_rows(window, anchor, True), "anchor long, id long, body long")
+    return (
+        paths.groupBy("anchor")
+        .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.min("body").alias("low"), F.max("body").alias("high"))
+        .where("first < last").select("anchor", "first", (F.col("low") == F.col("high")).alias("is_through"))
+    )
+
+
+def _marks(rows: DataFrame, shared: DataFrame, window: int, anchor: int) -> DataFrame:
+    """The shared anchors of each text."""
+    paths = rows.select(F.col("spot").alias("id"), "text").mapInArrow(_path_rows(window, anchor, False), "anchor long, id long")
+    return (
+        paths.join(shared, "anchor").groupBy(F.col("id").alias("spot"))
+        .agg(F.collect_set(F.struct("anchor", "first", "is_through")).alias("marks"))
+    )
