@@ -24,7 +24,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = sampling.sample_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = sampling.sample_mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 

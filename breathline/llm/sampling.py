@@ -64,13 +64,13 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 def sample_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
                weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES,
-               seed: str = "mix", cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``row`` (the input row), size, source_size, target, copies and taken of each document."""
+               seed: str = "mix", cell_rows: int = CELL_ROWS, carry: list[str] | None = None) -> DataFrame:
+    """``row`` (the input row, or its columns in ``carry``), size, source_size, target, copies and taken of each document."""
     digits, rows = 0, docs.count()
     while rows > cell_rows * 16**digits:
         digits += 1
     sized = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(source).alias("source"),
+        F.struct(*(F.col(f"`{c}`") for c in carry or docs.columns)).alias("row"), F.col(source).alias("source"),
         F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("src"), words_in(text).alias("size"),
         F.coalesce(F.col(id).cast("string"), F.lit("")).alias("name"),
     ).select(
