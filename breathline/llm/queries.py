@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import debruijn, lines, qgram_filter, refine, sampling, simhash
+from breathline.llm import debruijn, lines, maincontent, qgram_filter, refine, sampling, simhash
 from breathline.llm.common import table
 
 
@@ -38,8 +38,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("content_sha256", "text_sha256")
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maincontent.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op9_exact_dedup,
+    op10_main_text,
 )}
 
 _OP4 = r"""
