@@ -13,7 +13,7 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from breathline.llm.common import SPACE_CHARS, ascii_lower, fixed, id_or_last, whole
 
@@ -21,18 +21,15 @@ MIN_CHARS = 10
 MIN_DOCUMENTS = 2
 
 
-def line_key(line: Column) -> Column:
-    return ascii_lower(F.btrim(line, F.lit(SPACE_CHARS)))
-
-
 def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
                         min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """``row`` (the input row), ``kept_text``, ``n_lines`` and ``n_dropped`` of each document."""
-    lines = docs.select(
+    # step by step through arrays, as a column of columns would be worked out again at each use
+    trimmed = F.transform(F.split(whole(text), "\n"), lambda line: F.btrim(line, F.lit(SPACE_CHARS)))
+    keys = docs.select(
         id_or_last(id).alias("doc"), F.xxhash64(whole(text)).alias("body"),
-        F.posexplode(F.split(whole(text), "\n")).alias("pos", "line"),
-    )
-    keys = lines.select("doc", "body", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
+        F.posexplode(F.transform(trimmed, ascii_lower)).alias("pos", "key"),
+    ).where(F.char_length("key") >= min_chars)
     keys = keys.select("doc", "body", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(min_chars), "key").alias("h2"))
 
     by_hash = keys.groupBy("h1", "h2")
