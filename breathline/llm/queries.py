@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import debruijn, lines, maincontent, qgram_filter, refine, sampling, simhash
+from breathline.llm import debruijn, kneser_ney, lines, maincontent, qgram_filter, refine, sampling, simhash
 from breathline.llm.common import table
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", "n", F.round("perplexity", 6).alias("perplexity"), F.round("threshold", 6).alias("threshold"), "kept")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per document and benchmark item found in it."""
     return qgram_filter.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -43,7 +48,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op9_exact_dedup,
+    op2_quality, op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op9_exact_dedup,
     op10_main_text,
 )}
 
