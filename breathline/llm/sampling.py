@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from breathline.llm.common import WORD, whole
+from breathline.llm.common import WORD, fixed, whole
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -77,7 +77,7 @@ def sample_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source:
         "*", F.floor(F.log(F.col("size") + 1) * 8).cast("int").alias("cls"), F.md5("name").alias("spot"),
     ).withColumn("cell", F.substring("spot", 1, digits) if digits else F.lit(""))
 
-    cells = sized.groupBy("src", "source", "cls", "cell").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    cells = fixed(sized.groupBy("src", "source", "cls", "cell").agg(F.count("*").alias("n"), F.sum("size").alias("words")))
     classes = cells.groupBy("src", "source", "cls").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
     totals = source_targets(
         classes.groupBy("src", "source").agg(F.sum("words").alias("source_size")), weights, share, most
