@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import debruijn, kneser_ney, lines, maincontent, qgram_filter, refine, sampling, simhash
+from breathline.llm import debruijn, kneser_ney, langid, lines, maincontent, qgram_filter, refine, sampling, simhash
 from breathline.llm.common import table
 
 
@@ -38,6 +38,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(langid.learnable(docs)))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = refine.refine(table(spark, sf_dir, "documents"), digest_all=True)
     return found.withColumnRenamed("content_sha256", "text_sha256")
@@ -48,7 +53,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality, op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op9_exact_dedup,
+    op2_quality, op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op8_language, op9_exact_dedup,
     op10_main_text,
 )}
 
