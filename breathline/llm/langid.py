@@ -282,7 +282,8 @@ def sample(docs: DataFrame, text: str, lang: str, sample_docs: int = SAMPLE_DOCS
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("spot"))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     # about twice as many as are wanted, ranked among themselves
-    near = rows.join(counts, "lang").where(
+    # a row per language, fewer than the field has weights
+    near = rows.join(F.broadcast(counts), "lang").where(
         F.pmod("spot", F.lit(1 << 30)) < F.lit(2.0 * sample_docs + 50) / F.col("n") * (1 << 30))
     ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("spot")))
     return sorted((r["lang"], r["text"]) for r in ranked.where(F.col("rank") <= sample_docs).collect())
