@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import debruijn, kneser_ney, langid, lines, maincontent, qgram_filter, refine, sampling, simhash
+from breathline.llm import debruijn, kneser_ney, langid, lines, maincontent, pseudonyms, qgram_filter, refine, sampling, simhash
 from breathline.llm.common import table
 
 
+def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("row.doc_id", F.col("clean_text").alias("text"), "n_replaced")
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "lang", "n", F.round("perplexity", 6).alias("perplexity"), F.round("threshold", 6).alias("threshold"), "kept")
@@ -53,7 +58,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality, op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op8_language, op9_exact_dedup,
+    op1_pseudonyms, op2_quality, op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op8_language, op9_exact_dedup,
     op10_main_text,
 )}
 
