@@ -11,13 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _CODES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: dict[int, np.ndarray] = {}
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -70,11 +71,11 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of a batch with some MB of text each, or one longer text."""
-    texts = [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
-    begin, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= CHUNK_BYTES or i == len(texts) - 1:
-            yield batch.slice(begin, i + 1 - begin), texts[begin:i + 1]
-            begin, held = i + 1, 0
+    """Slices of a batch with about a MB of text each, or one longer text."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths, dtype=np.int64) // CHUNK_BYTES
+    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        if a < b:
+            piece = batch.slice(a, b - a)
+            yield piece, [t or b"" for t in piece.column(column).cast(pa.binary()).to_pylist()]
