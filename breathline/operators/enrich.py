@@ -6,8 +6,11 @@ from breathline.functions.numbers import decode_tenths
 
 
 def decode_readings(readings: DataFrame) -> DataFrame:
-    """Add ``CO2_ppm`` and the numeric ``sensor_id``."""
-    return readings.withColumns({
+    """Add ``CO2_ppm`` and the numeric ``sensor_id``.
+
+    A stored table's ``month`` ends here: filter by time first, as it prunes by it.
+    """
+    return readings.drop("month").withColumns({
         "CO2_ppm": decode_tenths(F.col("PPM_10X")),
         "sensor_id": F.col("SENSOR").cast("int"),
     })

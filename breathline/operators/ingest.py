@@ -11,6 +11,11 @@ def channel_counts(lut: DataFrame) -> DataFrame:
     return lut.groupBy("device_id").agg(F.count(F.lit(1)).cast("int").alias("n_channels"))
 
 
+def most_channels(lut: DataFrame) -> int:
+    """The greatest number of channels of a device."""
+    return channel_counts(lut).agg(F.max("n_channels")).first()[0] or 0
+
+
 def classify_lines(raw: DataFrame, lut: DataFrame | None = None) -> DataFrame:
     """Add ``text``, ``values`` and ``reason``; ``reason`` is NULL for an accepted line.
 

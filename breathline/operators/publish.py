@@ -1,4 +1,4 @@
-"""Publishing: the median of a period's readings per sensor, in tenths of ppm."""
+"""Publishing: the median of a period's readings per channel, in tenths of ppm."""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -8,6 +8,8 @@ from breathline.plans.chunks import with_lags, with_states
 
 PERIOD_S = 10
 MIN_READINGS = 3
+# A reading is known by the position of its channel; two channels may share a sensor.
+CHANNEL = ["device_id", "channel", "sensor_id"]
 
 
 def median_tenths(value: str = "v") -> Column:
@@ -22,20 +24,23 @@ def median_tenths(value: str = "v") -> Column:
 
 def publish_median(
     long: DataFrame, period_s: int = PERIOD_S, min_readings: int = MIN_READINGS,
-    time: str = "arrival_ts", value: str = "v",
+    time: str = "arrival_ts", value: str = "v", keys: list[str] = CHANNEL,
 ) -> DataFrame:
-    """Per sensor and epoch-aligned period with enough readings: end of period, median, count."""
-    return publish_windows(
-        long.groupBy("device_id", "sensor_id", F.window(time, f"{period_s} seconds")), value, min_readings
-    )
+    """Per channel and epoch-aligned period with enough readings: end of period, median, count.
+
+    Every accepted line has one value per channel, so a channel's count is that of its lines.
+    """
+    return publish_windows(long.groupBy(*keys, F.window(time, f"{period_s} seconds")), value, min_readings, keys)
 
 
-def publish_windows(grouped, value: str = "v", min_readings: int = MIN_READINGS) -> DataFrame:
-    """The aggregate of ``publish_median`` over groups that hold a ``window``."""
+def publish_windows(
+    grouped, value: str = "v", min_readings: int = MIN_READINGS, keys: list[str] = CHANNEL
+) -> DataFrame:
+    """The aggregate of ``publish_median`` over groups of ``keys`` and a ``window``."""
     return (
         grouped.agg(median_tenths(value).alias("tenths"), F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= min_readings)
-        .select("device_id", "sensor_id", F.col("window.end").cast("timestamp_ntz").alias("T"), "tenths", "n")
+        .select(*keys, F.col("window.end").cast("timestamp_ntz").alias("T"), "tenths", "n")
     )
 
 
@@ -125,10 +130,10 @@ def publish_median_carry(
     closing = carry_ticks(lines, period_s, min_readings, time, width)
     joined = tick_number(long, period_s, time).join(closing, ["device_id", "tick"])
     return (
-        joined.groupBy("device_id", "sensor_id", "close_tick")
+        joined.groupBy(*CHANNEL, "close_tick")
         .agg(median_tenths(value).alias("tenths"), F.count(F.lit(1)).alias("n"))
         .select(
-            "device_id", "sensor_id",
+            *CHANNEL,
             T.from_micros((F.col("close_tick") + 1) * F.lit(period_s * 1_000_000)).alias("T"),
             "tenths", "n",
         )

@@ -62,22 +62,6 @@ def device_summary(readings: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def running_summary(readings: DataFrame) -> DataFrame:
-    """The figures of ``device_summary`` in one aggregation, for a stream (no nested aggregates)."""
-    x, ten = F.col("PPM_10X"), F.lit(10.0)
-    whole = F.count(x) == F.count(F.lit(1))
-    return readings.groupBy(*KEY).agg(
-        F.when(whole, F.min(x) / ten).alias("min"),
-        F.when(whole, F.max(x) / ten).alias("max"),
-        F.when(whole, F.avg(x) / ten).alias("mean"),
-        F.when(whole, F.stddev_samp(x) / ten).alias("sd"),
-        F.when(whole, F.median(x) / ten).alias("median"),
-        F.max_by("T", "id").alias("last_T"),
-        F.min_by("T", "id").alias("first_T"),
-        F.count(F.lit(1)).alias("N"),
-    )
-
-
 def high_water_mark(devices: DataFrame, readings: DataFrame) -> DataFrame:
     """Highest id stored per device, -1 for a device without rows."""
     highest = readings.groupBy("device_id").agg(F.max("id").alias("last_id"))

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from breathline.functions import times as T
 from breathline.functions.numbers import round_stat
-from breathline.plans.chunks import with_lags, with_states, with_time_buckets
+from breathline.plans.chunks import with_lags, with_ordinal, with_states, with_time_buckets
 from breathline.plans.sizing import broadcast_if_small
 from breathline.schema import KEY
 from breathline.session import frozen
@@ -43,13 +43,17 @@ def trailing_stats(
 
 
 def trailing_minmax_scale(
-    lines: DataFrame, channels: int = 5, window_s: int = WINDOW_S, time: str = "arrival_ts"
+    lines: DataFrame, channels: int, window_s: int = WINDOW_S, time: str = "arrival_ts"
 ) -> DataFrame:
     """Newest value of each channel scaled to its trailing window, highest = 0, lowest = 1.
 
     A line gives no rows when any of its channels is constant over the window. The
-    channels of a line stay together, so one frame serves all of them.
+    channels of a line stay together, so one frame serves all of them. ``channels`` is
+    the most that a device has (``ingest.most_channels``); a longer line fails the job.
     """
+    complaint = F.concat(F.lit(f"more than {channels} values in line "), F.col("line_id").cast("string"))
+    lines = lines.withColumn("values", F.when(
+        F.size("values") > channels, F.raise_error(complaint).cast("array<double>")).otherwise(F.col("values")))
     rows, frame = _frames(lines, ["device_id"], window_s, time)
     scaled: list[Column] = []
     spans = []
@@ -161,21 +165,9 @@ def diff_time(readings: DataFrame, width: int | None = None) -> DataFrame:
 def series_order(readings: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """Rows in drawing order with ``row_no`` per series (``keys`` may be the sensor alone).
 
-    One range sort spreads even a single hot series over all tasks. It is stored, so
-    that partition numbers stay fixed while rows are counted per partition.
+    Rows are numbered in cells of an hour, after the counts of the hours before, and
+    sorted last: one range sort spreads even a single hot series over all tasks.
     """
-    order = [*keys, "T", *[c for c in ("device_id",) if c not in keys], "id"]
-    ranged = frozen(
-        readings.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_part", F.spark_partition_id())
-    )
-    cell = [*keys, "_part"]
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*cell).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .select(*cell, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    )
-    numbered = ranged.join(broadcast_if_small(frozen(offsets)), cell)
-    row_no = F.col("_at") - F.col("_first") + F.col("_before") + 1
-    return numbered.withColumn("row_no", row_no).drop("_at", "_part", "_first", "_before")
+    within = ["T", *[c for c in ("device_id",) if c not in keys], "id"]
+    numbered = with_ordinal(readings, keys, F.date_trunc("hour", "T"), within, "row_no")
+    return numbered.orderBy(*keys, *within)

@@ -1,7 +1,7 @@
 """Telemetry tables derived from the given ones, row by row or per line.
 
-``events`` gives readings, lines and samples; ``nation`` gives the channel look-up and
-the limits of sensors 1 to 10.
+``events`` gives readings, lines and samples, ``nation`` the channel look-up and
+``supplier`` the limits.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,6 +17,7 @@ OWN = "click"
 SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
 }
 
@@ -58,26 +59,31 @@ def arrival_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ranges(spark: SparkSession, sf: str) -> DataFrame:
-    """Limits of sensors 1 to 10; every fifth one is outdoors."""
-    sensor = F.col("n_nationkey") + 1
-    outdoors = sensor % 5 == 0
-
-    def limit(out: float, inside: float):
-        return F.when(outdoors, F.lit(out)).otherwise(F.lit(inside))
-
-    return table(spark, sf, "nation").filter(F.col("n_nationkey") < 10).select(
-        sensor.cast("int").alias("sensor_id"), limit(430.0, 700.0).alias("set"),
-        limit(370.0, 600.0).alias("min"), limit(480.0, 800.0).alias("max"),
+    """A limits row per supplier, around its account balance; some bounds are open.
+
+    The numbers leave out sensors 11 and 12, which have readings, and go on past the
+    sensors that have any.
+    """
+    key, centre = F.col("s_suppkey"), F.abs("s_acctbal") / 4 + 400
+    return table(spark, sf, "supplier").select(
+        F.when(key < 11, key).otherwise(key + 2).cast("int").alias("sensor_id"),
+        F.round(centre, 2).alias("set"),
+        F.when(key % 7 != 3, F.round(centre - 150, 2)).alias("min"),
+        F.when(key % 5 != 4, F.round(centre + 250, 2)).alias("max"),
     )
 
 
 def lut(spark: SparkSession, sf: str) -> DataFrame:
-    """Five devices of five channels, sensors 1 to 5 on even and 6 to 10 on odd devices."""
+    """Five devices of five channels, sensors 1 to 5 on even and 6 to 10 on odd devices.
+
+    The last two channels of ``dev_4`` share a sensor.
+    """
     channel = F.floor(F.col("n_nationkey") / 5)
+    shared = (F.col("n_regionkey") == 4) & (channel == 4)
     return table(spark, sf, "nation").select(
         F.concat(F.lit("dev_"), F.col("n_regionkey")).alias("device_id"),
         channel.cast("int").alias("channel"),
-        (channel + 1 + F.col("n_regionkey") % 2 * 5).cast("int").alias("sensor_id"),
+        (F.when(shared, 4).otherwise(channel + 1) + F.col("n_regionkey") % 2 * 5).cast("int").alias("sensor_id"),
     )
 
 

@@ -13,15 +13,16 @@ RD = """rd AS (
     FROM events)"""
 
 RANGES = """ranges AS (
-    SELECT CAST(n_nationkey + 1 AS INT) AS sensor_id,
-           CASE WHEN n_nationkey IN (4, 9) THEN 430 ELSE 700 END::DOUBLE AS "set",
-           CASE WHEN n_nationkey IN (4, 9) THEN 370 ELSE 600 END::DOUBLE AS "min",
-           CASE WHEN n_nationkey IN (4, 9) THEN 480 ELSE 800 END::DOUBLE AS "max"
-    FROM nation WHERE n_nationkey < 10)"""
+    SELECT CAST(s_suppkey + CASE WHEN s_suppkey >= 11 THEN 2 ELSE 0 END AS INT) AS sensor_id,
+           round(abs(s_acctbal) / 4 + 400, 2) AS "set",
+           CASE WHEN s_suppkey % 7 = 3 THEN NULL ELSE round(abs(s_acctbal) / 4 + 400 - 150, 2) END AS "min",
+           CASE WHEN s_suppkey % 5 = 4 THEN NULL ELSE round(abs(s_acctbal) / 4 + 400 + 250, 2) END AS "max"
+    FROM supplier)"""
 
 LUT = """lut AS (
     SELECT 'dev_' || n_regionkey AS device_id, CAST(n_nationkey // 5 AS INT) AS channel,
-           CAST(n_nationkey // 5 + 1 + CASE WHEN n_regionkey IN (1, 3) THEN 5 ELSE 0 END AS INT) AS sensor_id
+           CAST(CASE WHEN n_regionkey = 4 AND n_nationkey // 5 = 4 THEN 4 ELSE n_nationkey // 5 + 1 END
+                + CASE WHEN n_regionkey IN (1, 3) THEN 5 ELSE 0 END AS INT) AS sensor_id
     FROM nation)"""
 
 DECODED = RD + """,
@@ -107,22 +108,22 @@ masked AS (SELECT * EXCLUDE (v), CASE WHEN v >= 300 AND v <= 5000 THEN v END AS
 LONG_COLUMNS = "device_id, line_id, arrival_ts, channel, sensor_id, v"
 
 
-def _windows(rows: str, seconds: int, time: str, tenths: str) -> str:
+def _windows(rows: str, seconds: int, time: str, tenths: str, keys: str = "device_id, channel, sensor_id") -> str:
     """Median per epoch-aligned period of at least three rows."""
     return f"""
-    SELECT device_id, sensor_id,
+    SELECT {keys},
            make_timestamp((period + 1) * {seconds} * 1000000::BIGINT) AS "T", {tenths} AS tenths, count(*) AS n
     FROM (SELECT *, epoch_us({time}) // ({seconds} * 1000000::BIGINT) AS period FROM {rows})
-    GROUP BY device_id, sensor_id, period HAVING count(*) >= 3"""
+    GROUP BY {keys}, period HAVING count(*) >= 3"""
 
 
 MEDIAN = "median(v * 10)"
 STRICT_MEDIAN = "CASE WHEN count(v) = count(*) THEN median(v * 10) END"
 
-SUMMARY = DASH + f""",
+FIGURES = f""",
 gaps AS (
     SELECT *, epoch_us("T") - epoch_us(lag("T") OVER (PARTITION BY device_id, sensor_id ORDER BY id)) AS gap_us
-    FROM dash),
+    FROM shown),
 grouped AS (
     SELECT device_id, sensor_id, min("CO2_ppm") AS lo, max("CO2_ppm") AS hi, avg("CO2_ppm") AS mu,
            stddev_samp("CO2_ppm") AS sd, median("CO2_ppm") AS med, max_by("T", id) AS last_t,
@@ -136,10 +137,26 @@ summary AS (
     FROM (SELECT *, (epoch_us({AS_OF}) - epoch_us(last_t)) // 1000000 AS age FROM grouped))"""
 
 
+# The local dates of the refreshed view, at the local time of day of AS_OF, and an hour.
+REFRESHED = TARGET + """,
+filled AS (
+    SELECT * FROM dst UNION ALL
+    SELECT * FROM rd WHERE id > coalesce((SELECT max(d.id) FROM dst d WHERE d.device_id = rd.device_id), -1)),
+dec AS (SELECT *, "PPM_10X" / 10.0::DOUBLE AS "CO2_ppm", "SENSOR" AS sensor_id FROM filled
+        WHERE "T" BETWEEN TIMESTAMP '2024-01-06 00:00:00' AND TIMESTAMP '2024-01-26 01:00:00'),
+shown AS (SELECT * FROM dec)""" + FIGURES
+SUMMARY = DASH + """,
+shown AS (SELECT * FROM dash)""" + FIGURES
+
+
 def _summary(*columns: str) -> str:
     return f"WITH {SUMMARY} SELECT device_id, sensor_id, {', '.join(columns)} FROM summary"
 
 
+def _refreshed(*columns: str) -> str:
+    return f"WITH {REFRESHED} SELECT device_id, sensor_id, {', '.join(columns)} FROM summary"
+
+
 # A period joins the next one until three lines are together.
 CARRY = LONG + """,
 periods AS (
@@ -210,7 +227,7 @@ ORACLE: dict[str, str] = {
     # Sinks
     "sink_create_table": f"WITH {RD} SELECT * FROM rd",
     "sink_append_readings": f"""WITH {TARGET},
-        pub AS ({_windows('(SELECT *, "SENSOR" AS sensor_id, "PPM_10X" / 10::DOUBLE AS v FROM rd)', 86400, '"T"', MEDIAN)}),
+        pub AS ({_windows('(SELECT *, "SENSOR" AS sensor_id, "PPM_10X" / 10::DOUBLE AS v FROM rd)', 86400, '"T"', MEDIAN, 'device_id, sensor_id')}),
         numbered AS (
             SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY "T", sensor_id) AS no FROM pub
             WHERE round_even(tenths, 0) BETWEEN 0 AND 65535)
@@ -228,6 +245,8 @@ ORACLE: dict[str, str] = {
             FROM samples GROUP BY ALL HAVING count(*) = 32)
         SELECT device_id, string_agg(printf('%.2f', ppm), ',' ORDER BY channel) || ',' AS line
         FROM blocks GROUP BY device_id, block""",
+    "replay_recorded_log": f"""WITH {LONG}, pub AS ({_windows('long', 86400, 'arrival_ts', MEDIAN)})
+        SELECT * EXCLUDE (tenths), CAST(round_even(tenths, 0) AS INT) AS tenths FROM pub""",
     # Line ingest
     "line_trim": f"WITH {RAW} SELECT device_id, line_id, rtrim(line, chr(13) || chr(10)) AS text FROM raw",
     "line_skip_comments": f"""WITH {RAW} SELECT device_id, line_id, rtrim(line, chr(13) || chr(10)) AS text
@@ -256,7 +275,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT *, FALSE AS brush FROM rd WHERE "T" BETWEEN {START} AND {END}""",
     "filter_newer_than": f"WITH {MISSING} SELECT * FROM missing",
     "drop_missing_sensor": f"""WITH {MASKED}, pub AS ({_windows('masked', 86400, 'arrival_ts', STRICT_MEDIAN)})
-        SELECT device_id, sensor_id, "T", n FROM pub WHERE tenths IS NOT NULL""",
+        SELECT device_id, channel, sensor_id, "T", n FROM pub WHERE tenths IS NOT NULL""",
     # Scalar columns
     "calibrate_linear": f"""WITH {SAMPLES} SELECT device_id, channel, sample_no,
         round((adc * 1127 / 1024::DOUBLE - 400) * 50 / 16, 6) AS ppm FROM samples""",
@@ -264,7 +283,7 @@ ORACLE: dict[str, str] = {
         CASE WHEN round_even(v * 10, 0) BETWEEN 0 AND 65535 THEN CAST(round_even(v * 10, 0) AS INT) END AS "PPM_10X",
         CASE WHEN round_even(v * 10, 0) BETWEEN 0 AND 65535 THEN 'ok' ELSE 'overflow' END AS status FROM long""",
     "decode_tenths": f'WITH {DECODED} SELECT device_id, id, "CO2_ppm", sensor_id FROM dec',
-    "tag_device": f"WITH {RD} SELECT * FROM rd WHERE device_id = 'view'",
+    "tag_device": f"WITH {RD} SELECT * FROM rd",
     "stamp_utc_seconds": f"""WITH {ARRIVALS} SELECT device_id, id, date_trunc('second', ts) AS "T" FROM arrivals""",
     "elapsed_seconds": f"""WITH {ARRIVALS} SELECT device_id, id,
         round((epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY device_id))) / 1e6, 6) AS since_start,
@@ -298,14 +317,14 @@ ORACLE: dict[str, str] = {
     "publish_median": f"""WITH {LONG}, pub AS ({_windows('long', 86400, 'arrival_ts', MEDIAN)})
         SELECT * EXCLUDE (tenths), CAST(round_even(tenths, 0) AS INT) AS tenths FROM pub""",
     "publish_median_masked": f"""WITH {MASKED}, pub AS ({_windows('masked', 21600, 'arrival_ts', STRICT_MEDIAN)})
-        SELECT device_id, "T", n, CAST(round_even(tenths, 0) AS INT) AS "PPM_10X", sensor_id AS "SENSOR"
+        SELECT device_id, channel, "T", n, CAST(round_even(tenths, 0) AS INT) AS "PPM_10X", sensor_id AS "SENSOR"
         FROM pub WHERE tenths IS NOT NULL AND round_even(tenths, 0) BETWEEN 0 AND 65535""",
     "publish_median_carry": f"""WITH RECURSIVE {CARRY}
-        SELECT device_id, sensor_id, make_timestamp((close_tick + 1) * 7200000000) AS "T",
+        SELECT device_id, channel, sensor_id, make_timestamp((close_tick + 1) * 7200000000) AS "T",
                round(median(v * 10), 6) AS tenths, count(*) AS n
         FROM (SELECT *, epoch_us(arrival_ts) // 7200000000 AS tick FROM long)
         JOIN run USING (device_id, tick) JOIN closed USING (device_id, grp)
-        GROUP BY device_id, sensor_id, close_tick""",
+        GROUP BY device_id, channel, sensor_id, close_tick""",
     "summary_min_max": _summary('"min"', '"max"'),
     "summary_mean_sd": _summary("mean", "sd"),
     "summary_median": _summary("median"),
@@ -371,8 +390,8 @@ ORACLE: dict[str, str] = {
         FROM slides GROUP BY device_id, sensor_id, hour_end
         HAVING make_timestamp(hour_end * 3600000000) <= (SELECT max(ts) FROM arrivals) - INTERVAL 1 HOUR""",
     "stream_join_ranges": f"WITH {DASH} SELECT * FROM dash",
-    "stream_refresh_summary": _summary(
-        '"min"', '"max"', "mean", "sd", "median", '"last_T"', '"first_T"', '"N"'
+    "stream_refresh_summary": _refreshed(
+        '"min"', '"max"', "mean", "sd", "median", '"last_T"', "last_point", '"N"', "avg_sampling_period"
     ),
     "stream_sync_sink": f"WITH {MISSING} SELECT * FROM dst UNION ALL SELECT * FROM missing",
 }

@@ -1,6 +1,7 @@
 """One query per operator: ``(spark, sf_dir) -> DataFrame`` over the given tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -9,7 +10,7 @@ from breathline.functions import numbers as N
 from breathline.functions import times as T
 from breathline.operators import enrich, filters, ingest, publish, reshape, summary, sync, trailing
 from breathline.queries import fixtures as fx
-from breathline.schema import READING
+from breathline.schema import KEY, READING
 from breathline.session import scratch, streaming_session, utc
 from breathline.sinks import lines as line_sink
 from breathline.sinks import readings as sink
@@ -96,7 +97,7 @@ def scan_raw_lines(spark, sf):
     path = scratch(spark, "text-lines")
     bare = fx.raw_lines(spark, sf).withColumn("line", L.trim_line(F.col("line")))
     line_sink.write_lines(bare, path)
-    return line_source.scan_text_lines(spark, path)
+    return line_source.scan_text_lines(spark, path).select("device_id", "line")
 
 
 @query
@@ -152,7 +153,7 @@ def sink_create_table(spark, sf):
 def sink_append_readings(spark, sf):
     path = stored_readings(spark, fx.sync_target(spark, sf), "readings")
     published = publish.publish_median(
-        decoded(spark, sf).withColumnRenamed("CO2_ppm", "v"), DAY, time="T"
+        decoded(spark, sf).withColumnRenamed("CO2_ppm", "v"), DAY, time="T", keys=KEY
     )
     sink.write_published(publish.encode_published(published), path)
     return source.scan_readings(spark, path).select(*source.COLUMNS)
@@ -163,12 +164,24 @@ def sink_raw_log(spark, sf):
     path = scratch(spark, "raw-log")
     parsed = ingest.accepted(ingest.classify_lines(fx.raw_lines(spark, sf)))
     line_sink.write_lines(line_sink.log_lines(parsed), path)
-    return line_source.scan_text_lines(spark, path)
+    return line_source.scan_text_lines(spark, path).select("device_id", "line")
+
+
+@query
+def replay_recorded_log(spark, sf):
+    """What a log publishes when it is read back; equal to ``publish_median`` of the feed."""
+    path, lut = scratch(spark, "replay"), fx.lut(spark, sf)
+    parsed = ingest.accepted(ingest.classify_lines(fx.raw_lines(spark, sf)))
+    line_sink.write_lines(line_sink.log_lines(parsed), path)
+    lines = ingest.accepted(ingest.classify_lines(line_source.scan_recorded_log(spark, path), lut))
+    published = publish.publish_median(ingest.wide_to_long(lines, lut), DAY)
+    return published.select(*publish.CHANNEL, "T", N.round_tenths(F.col("tenths")).alias("tenths"), "n")
 
 
 @query
 def sink_export_csv(spark, sf):
-    rows = filters.filter_time_between(flagged(spark, sf), START, END)
+    stored = source.scan_readings(spark, stored_readings(spark, fx.readings(spark, sf), "export-store"))
+    rows = enrich.flag_readings(filters.filter_time_between(stored, START, END), fx.ranges(spark, sf))
     path = sink.export_csv(rows, scratch(spark, "export"), "readings", START, END)
     back = spark.read.schema(rows.schema).option("header", True).csv(path)
     return back.withColumn("file_name", F.lit(path.rsplit("/", 1)[1]))
@@ -179,7 +192,7 @@ def sink_wide_lines(spark, sf):
     path = scratch(spark, "wide-lines")
     wide = reshape.long_to_wide(calibrated(spark, sf), ["device_id", "block"], "ppm")
     line_sink.write_lines(line_sink.encoded_lines(wide), path)
-    return line_source.scan_text_lines(spark, path)
+    return line_source.scan_text_lines(spark, path).select("device_id", "line")
 
 
 # Line ingest -----------------------------------------------------------------------
@@ -263,7 +276,7 @@ def filter_newer_than(spark, sf):
 @query
 def drop_missing_sensor(spark, sf):
     published = publish.publish_median(masked_readings(spark, sf), DAY)
-    return publish.drop_missing_sensor(published).select("device_id", "sensor_id", "T", "n")
+    return publish.drop_missing_sensor(published).select(*publish.CHANNEL, "T", "n")
 
 
 # Scalar columns --------------------------------------------------------------------
@@ -291,10 +304,19 @@ def decode_tenths(spark, sf):
     return decoded(spark, sf).select("device_id", "id", "CO2_ppm", "sensor_id")
 
 
+def device_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """A table per device, for all that are found; their number is that of the devices."""
+    rows = fx.readings(spark, sf)
+    names = [r["device_id"] for r in source.discover_devices(rows).collect()]
+    path = stored_readings(spark, rows, "per-device")
+    stored = source.scan_readings(spark, path)
+    return {name: stored.filter(F.col("device_id") == name).drop("device_id", "month") for name in names}
+
+
 @query
 def tag_device(spark, sf):
-    rows = fx.readings(spark, sf).filter(F.col("device_id") == "view").drop("device_id")
-    return source.tag_device(rows, "view")
+    tagged = [source.tag_device(table, name) for name, table in device_tables(spark, sf).items()]
+    return reduce(DataFrame.unionByName, tagged).select(*source.COLUMNS)
 
 
 @query
@@ -375,7 +397,7 @@ def oversample_mean(spark, sf):
 @query
 def publish_median(spark, sf):
     published = publish.publish_median(long_readings(spark, sf), DAY)
-    return published.select("device_id", "sensor_id", "T", N.round_tenths(F.col("tenths")).alias("tenths"), "n")
+    return published.select(*publish.CHANNEL, "T", N.round_tenths(F.col("tenths")).alias("tenths"), "n")
 
 
 @query
@@ -388,7 +410,7 @@ def publish_median_masked(spark, sf):
 def publish_median_carry(spark, sf):
     lines, lut = accepted(spark, sf), fx.lut(spark, sf)
     published = publish.publish_median_carry(lines, ingest.wide_to_long(lines, lut), 2 * HOUR)
-    return published.select("device_id", "sensor_id", "T", r6("tenths").alias("tenths"), "n")
+    return published.select(*publish.CHANNEL, "T", r6("tenths").alias("tenths"), "n")
 
 
 @query
@@ -442,7 +464,8 @@ def trailing_stats(spark, sf):
 
 @query
 def trailing_minmax_scale(spark, sf):
-    rows = trailing.trailing_minmax_scale(accepted(spark, sf), window_s=DAY)
+    channels = ingest.most_channels(fx.lut(spark, sf))
+    rows = trailing.trailing_minmax_scale(accepted(spark, sf), channels, window_s=DAY)
     return rows.withColumn("scaled", r6("scaled"))
 
 
@@ -473,12 +496,8 @@ def series_order(spark, sf):
 
 @query
 def union_devices(spark, sf):
-    rows = fx.readings(spark, sf)
-    tables = {
-        name: rows.filter(F.col("device_id") == name).drop("device_id")
-        for name in ("click", "error", "purchase", "signup", "view")
-    }
-    return source.union_devices(tables)
+    """Each part reads its device's folders alone."""
+    return source.union_devices(device_tables(spark, sf)).select(*source.COLUMNS)
 
 
 @query
@@ -491,14 +510,17 @@ def distinct_device_sensor(spark, sf):
 
 @query
 def sync_incremental(spark, sf):
+    own = stored_readings(spark, fx.readings(spark, sf), "source")
     path = stored_readings(spark, fx.sync_target(spark, sf), "target")
-    sink.sync_incremental(fx.readings(spark, sf), path)
+    sink.sync_stores(spark, own, path)
     return source.scan_readings(spark, path).select(*source.COLUMNS)
 
 
 @query
 def sync_chunks(spark, sf):
-    return sink.sync_in_chunks(fx.readings(spark, sf), fx.sync_target(spark, sf))
+    own = stored_readings(spark, fx.readings(spark, sf), "source")
+    path = stored_readings(spark, fx.sync_target(spark, sf), "target")
+    return sink.sync_stores_in_chunks(spark, own, path)
 
 
 @query
@@ -589,15 +611,16 @@ def stream_join_ranges(spark, sf):
 
 @query
 def stream_refresh_summary(spark, sf):
-    live = streaming_session(spark)
-    rows = enrich.flag_readings(fx.readings(live, sf, streaming=True), fx.ranges(live, sf))
-    out = scratch(spark, "summary")
-    views.start_refresh_summary(rows, f"{out}/rows", f"{out}/checkpoint", availableNow=True).awaitTermination()
-    back = spark.read.parquet(f"{out}/rows")
-    return back.select(
-        "device_id", "sensor_id", *[r6(c).alias(c) for c in ("min", "max", "mean", "sd", "median")],
-        "last_T", "first_T", "N",
-    )
+    """The summary that the last tick leaves, of a range of local dates."""
+    root, out, checkpoint = (scratch(spark, n) for n in ("refresh-store", "summary", "refresh-checkpoint"))
+    store.seed_store(fx.sync_target(spark, sf), root)
+    views.start_refresh_summary(
+        fx.readings(spark, sf, streaming=True), fx.ranges(spark, sf), root, out, checkpoint,
+        lambda: fx.AS_OF, ("2024-01-05", "2024-01-25"), availableNow=True,
+    ).awaitTermination()
+    back = views.latest_refresh(spark, out)
+    figures = ("min", "max", "mean", "sd", "median", "avg_sampling_period")
+    return back.select("device_id", "sensor_id", "last_T", "last_point", "N", *[r6(c).alias(c) for c in figures])
 
 
 @query

@@ -2,12 +2,13 @@
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from breathline.operators.sync import mirror_rows, new_rows, numbered_chunks
+from breathline.operators.sync import CHUNK_ROWS, new_rows, numbered_chunks
 from breathline.plans.chunks import with_ordinal
 from breathline.plans.sizing import broadcast_if_small
-from breathline.session import frozen
+from breathline.session import frozen, scratch
+from breathline.sinks.files import delete
 from breathline.sources.readings import COLUMNS, STORED, month_of, scan_readings
 
 PARTITIONS = ["device_id", "month"]
@@ -51,23 +52,41 @@ def append_readings(rows: DataFrame, path: str) -> None:
 
 
 def with_next_ids(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """Give published rows the ids after their device's ``last_id``, by time, then sensor.
+    """Give published rows the ids after their device's ``last_id``, by time, then channel.
 
-    A device publishes one row per sensor and period, so the rows of a day are bounded.
+    Rows without a channel go by sensor. A device publishes one row per channel and
+    period, so the rows of a day are bounded.
     """
-    numbered = with_ordinal(rows, ["device_id"], F.to_date("T"), ["T", "SENSOR"], "_no")
+    order = ["T", "channel" if "channel" in rows.columns else "SENSOR"]
+    numbered = with_ordinal(rows, ["device_id"], F.to_date("T"), order, "_no")
     return (
         numbered.join(broadcast_if_small(marks), "device_id", "left")
         .withColumn("id", F.coalesce("last_id", F.lit(0)) + F.col("_no")).select(*COLUMNS)
     )
 
 
+def partition_marks(spark: SparkSession, path: str) -> DataFrame:
+    """Highest id per device and month of a store, from the footers of its files alone.
+
+    A session of its own reads them, as the aggregate is pushed down by the newer Parquet
+    reader only.
+    """
+    footers = spark.newSession()
+    older = [f for f in footers.conf.get("spark.sql.sources.useV1SourceList").split(",") if f != "parquet"]
+    footers.conf.set("spark.sql.sources.useV1SourceList", ",".join(older))
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return footers.read.schema(STORED).parquet(path).groupBy(*PARTITIONS).agg(F.max("id").alias("top_id"))
+
+
+def device_marks(spark: SparkSession, path: str) -> DataFrame:
+    """Highest id per device of a store, fixed before anything is written."""
+    return frozen(partition_marks(spark, path).groupBy("device_id").agg(F.max("top_id").alias("last_id")))
+
+
 def write_published(encoded: DataFrame, path: str) -> None:
     """Append published rows to a store, ids included; the store is created if need be."""
     create_store(encoded.sparkSession, path)
-    stored = scan_readings(encoded.sparkSession, path)
-    marks = frozen(stored.groupBy("device_id").agg(F.max("id").alias("last_id")))
-    append_readings(with_next_ids(encoded, marks), path)
+    append_readings(with_next_ids(encoded, device_marks(encoded.sparkSession, path)), path)
 
 
 def sync_incremental(source: DataFrame, target_path: str) -> None:
@@ -77,24 +96,83 @@ def sync_incremental(source: DataFrame, target_path: str) -> None:
     append_readings(new_rows(source, target), target_path)
 
 
+def new_stored_rows(
+    spark: SparkSession, source_path: str, target_path: str, devices: Column | None = None
+) -> DataFrame:
+    """``new_rows`` between stores (of ``devices``, a condition), reading only what may be new.
+
+    The marks come from file footers. Only partitions of the source that reach above the
+    device's mark are read (dynamic pruning), and the lowest of these marks is a literal
+    that reaches the row groups. Holes below a mark stay holes.
+    """
+    tops = partition_marks(spark, source_path)
+    tops = tops if devices is None else tops.filter(devices)
+    marks = partition_marks(spark, target_path).groupBy("device_id").agg(F.max("top_id").alias("last_id"))
+    ahead = frozen(
+        tops.join(marks, "device_id", "left")
+        .select(*PARTITIONS, "top_id", F.coalesce("last_id", F.lit(-1)).cast("bigint").alias("last_id"))
+        .filter(F.col("top_id") > F.col("last_id")).drop("top_id")
+    )
+    lowest = ahead.agg(F.min("last_id")).first()[0]
+    rows = scan_readings(spark, source_path)
+    if lowest is None:
+        return rows.select(*COLUMNS).limit(0)
+    # The condition holds for all; it makes Catalyst prune by this side.
+    reaching = broadcast_if_small(ahead.filter(F.col("last_id") >= -1))
+    return (
+        rows.filter(F.col("id") > lowest).join(reaching, PARTITIONS)
+        .filter(F.col("id") > F.col("last_id")).select(*COLUMNS)
+    )
+
+
+def sync_stores(spark: SparkSession, source_path: str, target_path: str) -> None:
+    """``sync_incremental`` from store to store."""
+    create_store(spark, target_path)
+    append_readings(new_stored_rows(spark, source_path, target_path), target_path)
+
+
 def sync_in_chunks(source: DataFrame, target: DataFrame) -> DataFrame:
     """The rows a sync would send, with the chunk each one travels in."""
     return numbered_chunks(new_rows(source, target))
 
 
+def sync_stores_in_chunks(spark: SparkSession, source_path: str, target_path: str) -> DataFrame:
+    """The same between stores."""
+    return numbered_chunks(new_stored_rows(spark, source_path, target_path))
+
+
 def mirror(spark: SparkSession, own: str, local_path: str, central_path: str) -> None:
     """Push the own device to the central store, then pull every other device."""
     for path in (local_path, central_path):
         create_store(spark, path)
-    push, pull = mirror_rows(own, scan_readings(spark, local_path), scan_readings(spark, central_path))
+    mine = F.col("device_id") == own
+    push = new_stored_rows(spark, local_path, central_path, mine)
+    pull = new_stored_rows(spark, central_path, local_path, ~mine)
     append_readings(push, central_path)
     append_readings(pull, local_path)
 
 
+def compact_month(spark: SparkSession, path: str, device: str, month: str) -> None:
+    """Rewrite one partition of a store in few files.
+
+    The rows are copied aside first. Readers of the store should pause, as its files are
+    replaced.
+    """
+    aside = scratch(spark, "compact")
+    part = (F.col("device_id") == device) & (F.col("month") == month)
+    scan_readings(spark, path).filter(part).write.parquet(aside)
+    rows = spark.read.schema(STORED).parquet(aside).select(*COLUMNS)
+    (
+        _laid_out(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITIONS).parquet(path)
+    )
+    delete(spark, aside)
+
+
 def write_jdbc(rows: DataFrame, url: str, table: str, **options: str) -> None:
     """Append one device's rows to its table in a relational database."""
     bare = rows.drop("device_id")
-    bare.write.format("jdbc").mode("append").options(url=url, dbtable=table, batchsize=101, **options).save()
+    bare.write.format("jdbc").mode("append").options(url=url, dbtable=table, batchsize=CHUNK_ROWS, **options).save()
 
 
 def export_name(prefix: str, start: str, end: str) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from breathline.functions import times as T
-from breathline.operators.publish import MIN_READINGS, PERIOD_S, publish_windows
+from breathline.operators.publish import CHANNEL, MIN_READINGS, PERIOD_S, publish_windows
 
 
 def stream_publish_tumbling(
@@ -17,7 +17,7 @@ def stream_publish_tumbling(
 ) -> DataFrame:
     """``publish_median`` on a stream; a window leaves the state once ``delay`` has passed."""
     timed = long.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
-    windows = timed.groupBy("device_id", "sensor_id", F.window(time, f"{period_s} seconds"))
+    windows = timed.groupBy(*CHANNEL, F.window(time, f"{period_s} seconds"))
     return publish_windows(windows, min_readings=min_readings)
 
 

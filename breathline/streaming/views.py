@@ -6,11 +6,16 @@ functions in ``operators.ingest`` and ``operators.enrich`` take a stream as they
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from breathline.functions.numbers import round_stat
-from breathline.operators.summary import running_summary
+from breathline.operators.enrich import flag_readings
+from breathline.operators.filters import filter_local_dates, filter_recent_days
+from breathline.operators.summary import device_summary
 from breathline.schema import KEY
+from breathline.sinks import files
+from breathline.sources.readings import scan_readings
+from breathline.streaming.store import start_store, sync_sink
 
 REFRESH = "60 seconds"
 
@@ -31,19 +36,48 @@ def stream_trailing(
     )
 
 
-def overwrite_table(path: str) -> Callable[[DataFrame, int], None]:
-    """A sink that replaces the table at ``path`` with each refresh."""
-    def write(refreshed: DataFrame, batch_id: int) -> None:
-        refreshed.write.mode("overwrite").parquet(path)
+def refreshed(store: DataFrame, ranges: DataFrame, as_of: str, dates: tuple[str, str] | None = None) -> DataFrame:
+    """The dashboard's summary at one tick: its range and ages are those of ``as_of``.
+
+    Without ``dates`` the range is the default view, the last days and an hour.
+    """
+    rows = filter_local_dates(store, *dates, as_of) if dates else filter_recent_days(store, as_of)
+    return device_summary(flag_readings(rows, ranges), as_of)
+
+
+def refresh_sink(
+    root: str, ranges: DataFrame, path: str, clock: Callable[[], str], dates: tuple[str, str] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: store the new rows, then write the summary of this tick.
+
+    Every refresh goes to a folder of its own, which a repeat replaces, so a reader of
+    ``latest_refresh`` sees a whole one. The store is read by the range's months alone.
+    """
+    store_rows = sync_sink(root)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        store_rows(batch, batch_id)
+        summary = refreshed(scan_readings(spark, root), ranges, clock(), dates)
+        summary.write.mode("overwrite").parquet(f"{path}/refresh={batch_id}")
+        for name in files.names(spark, path):
+            if name.startswith("refresh=") and int(name.removeprefix("refresh=")) < batch_id - 1:
+                files.delete(spark, f"{path}/{name}")
     return write
 
 
-def start_refresh_summary(flagged: DataFrame, path: str, checkpoint: str, **trigger):
-    """Keep the summary table at ``path`` up to date; every minute unless told otherwise."""
-    return (
-        running_summary(flagged).writeStream.outputMode("complete")
-        .foreachBatch(overwrite_table(path))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": REFRESH}))
-        .start()
-    )
+def latest_refresh(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole summary."""
+    done = [n for n in files.names(spark, path) if files.exists(spark, f"{path}/{n}/_SUCCESS")]
+    newest = max(done, key=lambda n: int(n.removeprefix("refresh=")))
+    return spark.read.parquet(f"{path}/{newest}")
+
+
+def start_refresh_summary(
+    readings: DataFrame, ranges: DataFrame, root: str, path: str, checkpoint: str,
+    clock: Callable[[], str], dates: tuple[str, str] | None = None, **trigger,
+):
+    """Keep a store and its summaries up to date; every minute unless told otherwise."""
+    return start_store(
+        readings, refresh_sink(root, ranges, path, clock, dates), checkpoint,
+        **(trigger or {"processingTime": REFRESH}))

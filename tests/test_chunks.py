@@ -138,8 +138,8 @@ def test_carry_matches_buffer(spark, seed, least):
     times = {d: bursts(rng, n, period) for d, n in (("hot", 400), ("b", 70), ("c", 2))}
     value = {(d, t): float(rng.randrange(3000, 60000)) / 100 for d, ts in times.items() for t in ts}
     rows = [(d, arrived(t), 1, value[d, t]) for d, ts in times.items() for t in ts]
-    long = spark.createDataFrame(rows, "device_id string, arrival_ts timestamp_ntz, sensor_id int, v double")
-    got = publish.publish_median_carry(long.drop("sensor_id", "v"), long, 10, least, width=8).collect()
+    long = spark.createDataFrame(rows, "device_id string, arrival_ts timestamp_ntz, sensor_id int, v double").withColumn("channel", F.lit(0))
+    got = publish.publish_median_carry(long.drop("sensor_id", "channel", "v"), long, 10, least, width=8).collect()
     want = {
         (d, arrived(end - epoch)): (len(buffer), round(statistics.median(value[d, t - epoch] * 10 for t in buffer), 6))
         for d, ts in times.items() for end, buffer in carry_model([t + epoch for t in ts], period, least)

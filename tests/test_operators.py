@@ -134,7 +134,7 @@ def test_median_of_group_with_nan_is_dropped(spark):
     rows = [("a", 1, at(i), v) for i, v in enumerate([400.0, 500.0, float("nan")])]
     rows += [("a", 2, at(i), v) for i, v in enumerate([400.04, 400.05, 400.06, 400.05])]
     long = spark.createDataFrame(rows, "device_id string, sensor_id int, arrival_ts timestamp_ntz, v double")
-    published = publish.publish_median(long)
+    published = publish.publish_median(long.withColumn("channel", F.lit(0)))
     assert published.count() == 2
     stored = publish.encode_published(publish.drop_missing_sensor(published)).collect()
     assert [(r.SENSOR, r.PPM_10X, r.T, r.n) for r in stored] == [(2, 4000, at(10), 4)]
@@ -144,7 +144,7 @@ def test_median_of_group_with_nan_is_dropped(spark):
 def test_too_large_a_value_is_rejected_not_clipped(spark):
     rows = [("a", 1, at(i), 6554.0) for i in range(3)]
     long = spark.createDataFrame(rows, "device_id string, sensor_id int, arrival_ts timestamp_ntz, v double")
-    published = publish.publish_median(long)
+    published = publish.publish_median(long.withColumn("channel", F.lit(0)))
     assert publish.encode_published(published).count() == 0
     assert publish.rejected_published(published).first().reason == "overflow"
 
@@ -152,7 +152,7 @@ def test_too_large_a_value_is_rejected_not_clipped(spark):
 def test_period_needs_three_readings(spark):
     rows = [("a", 1, at(t), 400.0) for t in (0, 1, 10, 11, 12, 20)]
     long = spark.createDataFrame(rows, "device_id string, sensor_id int, arrival_ts timestamp_ntz, v double")
-    assert [r.T for r in publish.publish_median(long).collect()] == [at(20)]
+    assert [r.T for r in publish.publish_median(long.withColumn("channel", F.lit(0))).collect()] == [at(20)]
 
 
 def test_zoom_and_skipped_hour(spark):
@@ -188,6 +188,46 @@ def test_constant_channel_suppresses_the_line(spark):
     assert [(r.line_id, r.channel, r.scaled) for r in got] == [(2, 0, 0.0), (2, 1, 0.0)]
 
 
+def test_no_channel_is_left_out(spark):
+    schema = "device_id string, line_id bigint, arrival_ts timestamp_ntz, values array<double>"
+    moving = [("a", i, at(i), [float(i + c) for c in range(6)]) for i in range(3)]
+    got = trailing.trailing_minmax_scale(spark.createDataFrame(moving, schema), channels=6)
+    assert sorted({r.channel for r in got.collect()}) == list(range(6))
+    constant = [(d, i, t, [*v[:5], 7.0]) for d, i, t, v in moving]
+    assert trailing.trailing_minmax_scale(spark.createDataFrame(constant, schema), channels=6).count() == 0
+    with pytest.raises(Exception, match="more than 5 values in line"):
+        trailing.trailing_minmax_scale(spark.createDataFrame(moving, schema), channels=5).collect()
+
+
+def test_two_channels_of_a_sensor_are_published_each(spark):
+    schema = "device_id string, line_id bigint, arrival_ts timestamp_ntz, values array<double>"
+    lut = spark.createDataFrame([("a", 0, 1), ("a", 1, 1)], LUT)
+    for n, want in ((2, []), (3, [(0, 1, 4000.0, 3), (1, 1, 8000.0, 3)])):
+        lines = spark.createDataFrame([("a", i, at(i), [400.0, 800.0]) for i in range(n)], schema)
+        long = ingest.wide_to_long(lines, lut)
+        for published in (publish.publish_median(long), publish.publish_median_carry(lines, long)):
+            assert sorted((r.channel, r.sensor_id, r.tenths, r.n) for r in published.collect()) == want
+
+
+def test_drawing_order_needs_no_broadcast(spark):
+    rows = [("d%d" % (i % 3), i, at(i * 977 % 50_000), i % 4, float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "device_id string, id bigint, T timestamp_ntz, sensor_id int, CO2_ppm double").repartition(7)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = [(r.device_id, r.sensor_id, r["T"], r.id) for r in trailing.series_order(df).collect()]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == sorted(got) and len(got) == 3000
+
+
+def test_flagged_stored_readings_have_no_month(spark):
+    stored = readings(spark, [("a", 1, T0, 1, 1)]).withColumn("month", F.lit("2024-01"))
+    assert "month" not in enrich.flag_readings(stored, spark.createDataFrame([], RANGES)).columns
+
+
 def test_window_holds_both_ends(spark):
     rows = [("a", i, at(t), 1, float(v)) for i, (t, v) in enumerate([(0, 1), (20, 3), (20.000001, 5)])]
     arrivals = spark.createDataFrame(rows, "device_id string, id bigint, ts timestamp_ntz, sensor_id int, v double")

@@ -1,10 +1,13 @@
 """Streams against a plain model or their batch form, with restarts in between."""
 
 import datetime as dt
+import os
 import random
 import statistics
 
-from breathline.operators import enrich, ingest, publish, summary
+from pyspark.sql import functions as F
+
+from breathline.operators import enrich, filters, ingest, publish, summary
 from breathline.schema import LUT, RANGES, RAW_LINE, READING
 from breathline.session import scratch
 from breathline.sinks import lines as line_sink
@@ -75,32 +78,35 @@ def test_carry_stream_keeps_missing_channel_missing(spark):
 
 def test_tumbling_stream_equals_batch_for_closed_windows(spark):
     rng = random.Random(5)
-    rows = [("a", rng.randrange(2), T0 + dt.timedelta(seconds=i * 2), rng.randrange(9000) / 10) for i in range(200)]
-    schema = "device_id string, sensor_id int, arrival_ts timestamp_ntz, v double"
+    rows = [("a", c := rng.randrange(3), c % 2, T0 + dt.timedelta(seconds=i * 2), rng.randrange(9000) / 10) for i in range(200)]
+    schema = "device_id string, channel int, sensor_id int, arrival_ts timestamp_ntz, v double"
     feed, out = scratch(spark, "long"), scratch(spark, "tumbling")
     long = spark.createDataFrame(rows, schema)
     for part in (long.limit(100), long.filter(long.arrival_ts > T0 + dt.timedelta(seconds=198))):
         part.write.mode("append").parquet(feed)
         drain(live.stream_publish_tumbling(spark.readStream.schema(schema).parquet(feed), "0 seconds"), out)
-    closed = max(r[2] for r in rows)
+    closed = max(r[3] for r in rows)
     want = {tuple(r) for r in publish.publish_median(long).collect() if r.T <= closed}
     assert {tuple(r) for r in spark.read.parquet(f"{out}/rows").collect()} == want
     assert want
 
 
-def test_refreshed_summary_equals_batch(spark):
+def test_every_tick_refreshes_range_and_ages(spark):
     rng = random.Random(6)
-    rows = [("a" if i % 3 else "b", i, T0 + dt.timedelta(seconds=i), i % 2, rng.randrange(9000)) for i in range(90)]
+    rows = [("a" if i % 3 else "b", i, T0 + dt.timedelta(minutes=i), i % 2, rng.randrange(9000)) for i in range(90)]
     limits = spark.createDataFrame([(1, 700.0, 600.0, 800.0)], RANGES)
-    feed, out = scratch(spark, "readings"), scratch(spark, "summary")
-    for part in (rows[:50], rows[50:]):
+    feed, root, out, checkpoint = (scratch(spark, n) for n in ("readings", "store", "summary", "checkpoint"))
+    store.seed_store(spark.createDataFrame([], READING), root)
+    for part, clock in ((rows[:50], "2024-01-01 12:00:00"), (rows[50:], "2024-01-03 01:00:00")):
         spark.createDataFrame(part, READING).write.mode("append").parquet(feed)
-        flagged = enrich.flag_readings(spark.readStream.schema(READING).parquet(feed), limits)
-        views.start_refresh_summary(flagged, f"{out}/rows", f"{out}/checkpoint", availableNow=True).awaitTermination()
-    columns = ["device_id", "sensor_id", "min", "max", "median", "last_T", "N"]
-    batch = summary.device_summary(enrich.decode_readings(spark.createDataFrame(rows, READING)), "2024-01-02 00:00:00")
-    assert sorted(map(tuple, spark.read.parquet(f"{out}/rows").select(columns).collect())) == sorted(
-        map(tuple, batch.select(columns).collect()))
+        stream = spark.readStream.schema(READING).parquet(feed)
+        views.start_refresh_summary(stream, limits, root, out, checkpoint, lambda c=clock: c, availableNow=True).awaitTermination()
+        so_far = spark.createDataFrame(rows[:rows.index(part[-1]) + 1], READING)
+        want = summary.device_summary(enrich.flag_readings(filters.filter_recent_days(so_far, clock), limits), clock)
+        got = views.latest_refresh(spark, out)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert 0 < got.agg(F.sum("N")).first()[0] <= len(rows)
 
 
 def test_lines_to_stored_readings(spark):
@@ -108,6 +114,7 @@ def test_lines_to_stored_readings(spark):
     lut = spark.createDataFrame([("a", 0, 3), ("a", 1, 4)], LUT)
     texts = [f"{400 + i}.00,{700 if i != 5 else 9000}.00,\r\n" for i in range(12)]
     texts[2] = "#boot\r\n"
+    texts[7] = texts[8] = texts[9] = "409.00,7000.00,\r\n"
     rows = [("a", i, T0 + dt.timedelta(seconds=4 * i), text) for i, text in enumerate(texts)]
     feed, root, checkpoint = (scratch(spark, n) for n in ("feed", "store", "checkpoint"))
     store.seed_store(spark.createDataFrame([("a", 41, T0, 3, 1)], READING), root)
@@ -118,9 +125,9 @@ def test_lines_to_stored_readings(spark):
         pushed = live.stream_publish_carry(lines)
         store.start_store(pushed, store.publish_sink(root, lut), checkpoint, availableNow=True).awaitTermination()
     got = sorted((r.id, (r["T"] - T0).seconds, r.SENSOR, r.PPM_10X) for r in store.stored_rows(spark, root).collect())
-    # Pushes at 12 s (lines 0, 1, 3), 24 s (4, 5, 6), 36 s (7, 8, 9).
-    assert got[1:] == [(42, 12, 3, 4010), (43, 12, 4, 7000), (44, 24, 3, 4050), (45, 24, 4, 7000),
-                       (46, 36, 3, 4080), (47, 36, 4, 7000)]
+    # Pushes at 12 s (lines 0, 1, 3), 24 s (4, 5, 6), 36 s (7, 8, 9), the last above the column's range.
+    assert got[1:] == [(42, 12, 3, 4010), (43, 12, 4, 7000), (44, 24, 3, 4050), (45, 24, 4, 7000), (46, 36, 3, 4090)]
+    assert [(r.sensor_id, r.tenths, r.reason) for r in store.rejected_rows(spark, root).collect()] == [(4, 70000.0, "overflow")]
 
 
 def test_text_lines_as_table_stream_and_log(spark):
@@ -130,12 +137,39 @@ def test_text_lines_as_table_stream_and_log(spark):
     trimmed = ingest.classify_lines(raw)
     line_sink.write_lines(trimmed.select("device_id", trimmed.text.alias("line")), path)
     want = [("a", "1,2,"), ("b", "3,")]
-    assert sorted(map(tuple, line_source.scan_text_lines(spark, path).collect())) == want
+    table = line_source.scan_text_lines(spark, path)
+    assert table.columns == RAW_LINE.fieldNames()
+    assert sorted((r.device_id, r.line) for r in table.collect()) == want
     drain(line_source.scan_text_lines(spark, path, streaming=True), out)
-    assert sorted(map(tuple, spark.read.parquet(f"{out}/rows").collect())) == want
+    assert sorted(map(tuple, spark.read.parquet(f"{out}/rows").select(table.columns).collect())) == sorted(map(tuple, table.collect()))
     line_sink.write_lines(line_sink.log_lines(ingest.accepted(trimmed)), log)
-    got = sorted(map(tuple, line_source.scan_recorded_log(spark, log).select("epoch", "line").collect()))
-    assert got == [(1704067200.0, "1,2,"), (1704067200.000005, "3,")]
+    got = line_source.scan_recorded_log(spark, log)
+    assert got.columns == RAW_LINE.fieldNames()
+    assert sorted((r.device_id, r.line_id, r.arrival_ts, r.line) for r in got.collect()) == [
+        ("a", 1, T0, "1,2,"), ("b", 1, T0 + dt.timedelta(microseconds=5), "3,")]
+
+
+def test_text_files_to_stored_readings(spark):
+    """A feed of text files, stamped as they come, is published and stored."""
+    lut = spark.createDataFrame([("a", 0, 3)], LUT)
+    folder, root, checkpoint = (scratch(spark, n) for n in ("text", "store", "checkpoint"))
+    feed = f"{folder}/device_id=a"
+    store.seed_store(spark.createDataFrame([], READING), root)
+    os.makedirs(feed)
+    for number in range(4):
+        path = f"{feed}/{number}.txt"
+        with open(path, "w") as out:
+            out.write("".join(f"{400 + 10 * number + i}.00,\r\n" for i in range(3)))
+        at = (T0 + dt.timedelta(seconds=12 * number)).replace(tzinfo=dt.timezone.utc).timestamp()
+        os.utime(path, (at, at))
+        raw = line_source.scan_text_lines(spark, folder, streaming=True)
+        lines = ingest.accepted(ingest.classify_lines(raw, lut))
+        assert [f.name for f in raw.schema] == RAW_LINE.fieldNames()
+        pushed = live.stream_publish_carry(lines)
+        store.start_store(pushed, store.publish_sink(root, lut), checkpoint, availableNow=True).awaitTermination()
+    got = sorted((r.id, (r["T"] - T0).seconds, r.SENSOR, r.PPM_10X) for r in store.stored_rows(spark, root).collect())
+    # a push takes the first line of a file, and the lines since the last push
+    assert got == [(1, 12, 3, 4015), (2, 24, 3, 4120), (3, 36, 3, 4220)]
 
 
 def test_live_flags_keep_unmatched_readings(spark):

@@ -41,6 +41,25 @@ def test_sync_twice_is_sync_once_and_holes_stay(spark):
         assert content(spark, path) == want
 
 
+def test_stores_are_synced_by_their_partitions(spark):
+    src = store(spark, rows("a", range(0, 200, 5)) + rows("new", [0, 1]) + rows("done", range(4)))
+    path = store(spark, rows("a", [0, 10, 95]) + rows("done", range(4)))
+    for _ in range(2):
+        sink.sync_stores(spark, src, path)
+        assert content(spark, path) == sorted(
+            [("a", i) for i in (0, 10, *range(95, 200, 5))] + [("new", 0), ("new", 1)] + [("done", i) for i in range(4)])
+
+
+def test_a_sync_prunes_partitions_and_row_groups(spark):
+    src = store(spark, rows("a", range(0, 200, 5)) + rows("b", range(20)))
+    path = store(spark, rows("a", [100]) + rows("b", range(20)))
+    plan = sink.new_stored_rows(spark, src, path)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "GreaterThan(id,100)" in plan
+    marks = sink.partition_marks(spark, src)
+    assert "PushedAggregation: [MAX(id)]" in marks._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, marks.collect())) == [("a", "2024-01", 55), ("a", "2024-02", 195), ("b", "2024-01", 19)]
+
+
 def test_rows_keep_values_over_months(spark):
     data = rows("a", range(0, 200, 20))
     path = store(spark, data)
@@ -104,6 +123,40 @@ def test_repeated_batch_changes_nothing(spark):
     assert got == [("a", 0), ("a", 3), ("a", 4), ("a", 5), ("a", 6), ("a", 7), ("b", 0)]
 
 
+def test_a_batch_cut_short_is_completed(spark):
+    root = scratch(spark, "live")
+    live.seed_store(frame(spark, rows("a", [0])), root)
+    batch = frame(spark, rows("a", range(1, 90, 10)) + rows("b", [0]))
+    live.files.make_folder(spark, f"{root}/_pending/batch=0")
+    sink.append_readings(batch.filter("id in (11, 71)"), root)  # what the first try had stored
+    for _ in range(2):
+        live.sync_sink(root)(batch, 0)
+    assert content(spark, root) == [("a", i) for i in (0, *range(1, 90, 10))] + [("b", 0)]
+
+
+def test_a_batch_lists_as_many_folders_after_many_batches(spark):
+    root = scratch(spark, "live")
+    write = live.sync_sink(root)
+    live.seed_store(frame(spark, rows("a", [0])), root)
+    for batch_id in range(12):
+        write(frame(spark, rows("a", [batch_id, batch_id + 1])), batch_id)
+        assert len(live.files.names(spark, f"{root}/_marks")) <= 2
+    assert live.files.names(spark, f"{root}/_pending") == []
+    assert content(spark, root) == [("a", i) for i in range(13)]
+    assert sorted(map(tuple, live.earlier_marks(spark, root, 12).collect())) == [("a", 12)]
+
+
+def test_a_compacted_month_holds_the_same_rows(spark):
+    path = store(spark, rows("a", range(5)) + rows("b", [1]))
+    for i in range(5, 9):
+        sink.append_readings(frame(spark, rows("a", [i, 100 + i])), path)
+    before = content(spark, path)
+    parts = lambda: len(live.files.names(spark, f"{path}/device_id=a/month=2024-01"))
+    many = parts()
+    sink.compact_month(spark, path, "a", "2024-01")
+    assert content(spark, path) == before and parts() < many
+
+
 def test_sync_stream_resumes(spark):
     feed, root, checkpoint = (scratch(spark, n) for n in ("feed", "live", "checkpoint"))
     live.seed_store(frame(spark, []), root)
