@@ -41,8 +41,9 @@ def refine(docs: DataFrame, id: str = "doc_id", text: str = "text", digest_all:
         F.xxhash64(F.substring("norm", 1, prefix_chars)).alias("prefix"),
     )
 
-    same_length = keyed.groupBy("bytes").count().where("count > 1").select("bytes")
-    same_prefix = (
+    # each small result is a table of its own, so that joins deal out both sides and AQE can split a hot key
+    same_length = fixed(keyed.groupBy("bytes").count().where("count > 1").select("bytes"))
+    same_prefix = fixed(
         keyed.select("bytes", "prefix").join(same_length, "bytes", "left_semi")
         .groupBy("bytes", "prefix").count().where("count > 1")
         .select("bytes", "prefix", F.lit(True).alias("alike"))
@@ -54,7 +55,7 @@ def refine(docs: DataFrame, id: str = "doc_id", text: str = "text", digest_all:
     hashed = fixed(hashed)
 
     # the largest (chars, -id) of a group is its keeper; -1 - id keeps the order without overflow
-    groups = (
+    groups = fixed(
         hashed.where("alike").groupBy("bytes", "prefix", "content_sha256")
         .agg(F.count("*").alias("n"), F.max(F.struct("chars", (F.lit(-1) - F.col("id")).alias("back"))).alias("best"))
         .where("n > 1")
