@@ -28,7 +28,7 @@ from breathline.llm.common import WORD, fixed, whole
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_COPIES = 2
-CELL_ROWS = 65_536
+CELL_ROWS = 16_384
 
 
 def words_in(text: str) -> Column:
