@@ -62,6 +62,7 @@ BAD_WORDS = frozenset(
     "toolbar cookie cookies consent gdpr notice notices notification notifications alert popup modal overlay comment comments commentlist disqus reply "
     "replies respond discussion share sharing social related recommended recommendations trending subscribe subscription newsletter signup login "
     "signin register search searchbox form copyright legal disclaimer skip complementary contentinfo dialog toc outbrain taboola".split())
+TITLE_WORDS = frozenset("header masthead banner".split())
 GOOD_WORDS = frozenset("article content post entry story main articlebody postbody body text hentry".split())
 BAD, GOOD = -9.0, 2.5
 
@@ -71,7 +72,7 @@ _TAG = re.compile(
     r"""|/[^>]*(?:>|\Z))""", re.S)
 _ENDS = {name: re.compile(rf"</{name}(?![\w-])" + ("|<body" if name == "head" else ""), re.I) for name in SKIPPED}
 _NAMES = re.compile(r"""(?<![\w-])(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?<![\w-])(?:hidden(?![\w-])|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
+_HIDDEN = re.compile(r"""(?:^|(?<=\s))(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
@@ -86,7 +87,9 @@ class Element:
             self.bad = 0.0
         if rest:
             words = {w.lower() for m in _NAMES.finditer(rest) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")}
-            if words & BAD_WORDS or _HIDDEN.search(rest):
+            if self.inside:
+                words -= TITLE_WORDS  # the head of an article is its title
+            if name not in ("html", "body") and (words & BAD_WORDS or _HIDDEN.search(rest)):
                 self.named = BAD
             elif words & GOOD_WORDS:
                 self.good = max(self.good, GOOD)

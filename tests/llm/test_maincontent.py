@@ -49,6 +49,8 @@ def test_cut_of_a_long_chain():
     (f"<div id='content' class='has-sidebar'><article><p>{LONG}</p></article><div class='sidebar'><p>{LONG}</p></div></div>", LONG.strip()),
     (f"<article><p>a <b>b<br>c</b>\n\t d&nbsp;e</p><p>{LONG}<!-- <p>no</p> --><script>var t='</p><p>no</p>';</script></p></article>", f"a b c d e\n\n{LONG.strip()}"),
     (f"<article><p>1 &lt; 2 <3 and 5 > 4</p><p title='a > b'>{LONG}</p><ul><li>one<li>two</ul></article>", f"1 < 2 <3 and 5 > 4\n\n{LONG.strip()}\n\none\n\ntwo"),
+    (f"<body class='comments-open'><main><div class='entry-header'><h1>Own</h1></div><p style='overflow: hidden'>{LONG}</p>"
+     f"<div role=navigation>no</div><div class='cookie-notice'><p>{LONG}</p></div></main>", f"Own\n\n{LONG.strip()}"),
     (f"<form id=aspnet><article><p>{LONG}</p></article><form><p>Search</p><input value=x></form></form>", LONG.strip()),
     (f"<article><p>{LONG}</p><table><tr><td>a<td>b</tr><tr><td>c<td>d</table><p hidden>no</p><p>Cut off <b", f"{LONG.strip()}\n\na b\n\nc d\n\nCut off"),
     (f"<title>no</title><style>p {{}}</style><noscript><p>no</p></noscript><article><p>{LONG}</p><!-- open", LONG.strip()),
