@@ -49,7 +49,8 @@ _NO_LETTER = re.compile(r"[\W\d_]+")
 
 def plain_word(token: str) -> str:
     """The letters of a token, in lower case."""
-    return _NO_LETTER.sub("", token).lower()
+    word = _NO_LETTER.sub("", token)
+    return (word if word.isalpha() else "".join(filter(str.isalpha, word))).lower()
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -91,7 +91,7 @@ def test_words_of_code_switched_text(spark, fitted):
 
 
 def test_odd_rows(spark, fitted):
-    rows = [(1, None, "en"), (2, "", "en"), (3, "123 ### 4.5", "fr"), (4, "the " * 70_000, None), (4, "the " * 70_000, None), (None, "the of and that", "en"),
+    rows = [(1, None, "en"), (2, "", "en"), (3, "123 ### 4.5 \u00bd _", "fr"), (4, "the " * 70_000, None), (4, "the " * 70_000, None), (None, "the of and that", "en"),
             (5, "x", ""), (6, "漢字 かな Ж", "zz"), (7, "y" * 50_000, "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     for name in ("id", "held_out", "lang_pred", "score", "n", "spot", "rank"):
