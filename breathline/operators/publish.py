@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from breathline.functions import numbers as N
 from breathline.functions import times as T
 from breathline.plans.chunks import with_lags, with_states
+from breathline.session import frozen
 
 PERIOD_S = 10
 MIN_READINGS = 3
@@ -88,7 +89,8 @@ def carry_ticks(
     )
     # Fewer than ``full`` periods can wait for one, as each holds a reading at least.
     lags = [f"lag_{k}" for k in range(1, full)]
-    lagged = with_lags(ticks, ["device_id"], "tick", F.struct("tick", "n"), n=full - 1, **sizes)
+    # One row per non-empty period, kept, as every step below reads it again.
+    lagged = frozen(with_lags(ticks, ["device_id"], "tick", F.struct("tick", "n"), n=full - 1, **sizes))
 
     # Nothing waits after a full period, so a full one that follows it stands alone and
     # only the stretches with short ones have to be folded.
@@ -104,8 +106,7 @@ def carry_ticks(
 
     stretches = lagged.filter(~(fresh & (F.col("n") >= full)))
     coded = stretches.withColumn("_code", F.when(fresh, restart).otherwise(0) + F.col("n"))
-    # One level will do: ten years of ten-second periods make 15,000 chunks per device.
-    states = with_states(coded, ["device_id"], "tick", "_code", full, carried, carry=lags, levels=1, **sizes)
+    states = with_states(coded, ["device_id"], "tick", "_code", full, carried, carry=lags, **sizes)
     started = F.col("_code") >= restart
     closing = states.filter(~started & (F.col("state") + F.col("_code") >= full))
     # Walk back until the waiting readings are accounted for.

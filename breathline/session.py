@@ -1,5 +1,7 @@
 """Session settings and the shared scratch folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,15 +33,21 @@ def utc(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``, or that the context was given.
+
+    Only on one machine, and without either, a temporary one that goes with the process.
+    """
     global _local_root
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    )
     if not root:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="breathline-")
+            atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
         root = _local_root
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

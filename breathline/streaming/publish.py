@@ -30,8 +30,9 @@ def stream_publish_carry(
     A push is due at the first line at least ``period_s`` after the previous one, the
     first being counted from the device's first line. With too few readings it publishes
     nothing and keeps them, but the next push still counts from it. Needs accepted lines,
-    all of a device with equally many values, in arrival order between micro-batches; a
-    micro-batch is bounded by the source's rate limit, the state by one period.
+    those of a device in a micro-batch with equally many values, in arrival order between
+    micro-batches; a micro-batch is bounded by the source's rate limit, the state by one
+    period. When a device's number of channels changes, its buffer starts anew.
     """
     period = period_s * 1_000_000
 
@@ -39,9 +40,13 @@ def stream_publish_carry(
         arrived = pd.concat(list(batches)).sort_values(["us", "line_id"])
         times = arrived["us"].to_numpy()
         values = np.stack(arrived["values"].to_list())
+        channels = values.shape[1]
         last_push, kept = (times[0], values[:0]) if not state.exists else (
-            state.get[0], np.array(state.get[1], dtype=float).reshape(-1, values.shape[1])
+            state.get[0], np.array(state.get[1], dtype=float).reshape(-1, state.get[2])
         )
+        if kept.shape[1] != channels:
+            # The device's channels were changed: what it kept has another meaning now.
+            kept = values[:0]
         published, done = [], 0
         while (due := int(np.searchsorted(times, last_push + period))) < len(times):
             buffer = np.concatenate([kept, values[done:due + 1]])
@@ -55,14 +60,14 @@ def stream_publish_carry(
                 "device_id": key[0], "push_us": last_push, "channel": np.arange(len(medians)),
                 "tenths": medians, "n": len(buffer),
             }))
-        state.update((int(last_push), np.concatenate([kept, values[done:]]).ravel().tolist()))
+        state.update((int(last_push), np.concatenate([kept, values[done:]]).ravel().tolist(), channels))
         yield from published
 
     rows = lines.select("device_id", "line_id", T.micros(F.col(time)).alias("us"), "values")
     pushed = rows.groupBy("device_id").applyInPandasWithState(
         push,
         "device_id string, push_us bigint, channel int, tenths double, n bigint",
-        "last_push bigint, buffer array<double>",
+        "last_push bigint, buffer array<double>, channels int",
         "append", GroupStateTimeout.NoTimeout,
     )
     return pushed.select(

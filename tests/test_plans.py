@@ -65,6 +65,13 @@ def test_last_row_needs_no_sort(spark):
     assert "Sort" not in plan(summary.last_per_key(enrich.decode_readings(fx.readings(spark, SF))))
 
 
+def test_carry_reads_its_input_twice(spark):
+    text = plan(QUERIES["publish_median_carry"](spark, SF))
+    # Before reuse; the periods are read from where they were kept.
+    assert text.count("FileScan") <= 4
+    assert text.count("Exchange hashpartitioning") <= 10
+
+
 def test_no_window_spans_a_whole_device(spark):
     arrivals = fx.arrivals(spark, SF)
     for df in (trailing.trailing_stats(arrivals), trailing.diff_time(enrich.decode_readings(fx.readings(spark, SF)))):

@@ -76,6 +76,17 @@ def test_carry_stream_keeps_missing_channel_missing(spark):
     assert got == {0: (10.0, 3), 1: (None, 3)}
 
 
+def test_carry_stream_starts_anew_when_channels_change(spark):
+    feed, out = scratch(spark, "lines"), scratch(spark, "pushes")
+    parts = [[("a", 0, T0, [1.0, 2.0, 3.0, 4.0]), ("a", 1, T0 + dt.timedelta(seconds=2), [1.0, 2.0, 3.0, 4.0])],
+             [("a", i, T0 + dt.timedelta(seconds=4 * i), [float(i), 50.0]) for i in range(2, 5)]]
+    for part in parts:
+        spark.createDataFrame(part, LINES).write.mode("append").parquet(feed)
+        drain(live.stream_publish_carry(spark.readStream.schema(LINES).parquet(feed), min_readings=2), out)
+    got = sorted((r.channel, r.tenths, r.n) for r in spark.read.parquet(f"{out}/rows").collect())
+    assert got == [(0, 25.0, 2), (1, 500.0, 2)]
+
+
 def test_tumbling_stream_equals_batch_for_closed_windows(spark):
     rng = random.Random(5)
     rows = [("a", c := rng.randrange(3), c % 2, T0 + dt.timedelta(seconds=i * 2), rng.randrange(9000) / 10) for i in range(200)]
