@@ -572,27 +572,14 @@ def stream_publish_tumbling(spark, sf):
 
 @query
 def stream_publish_carry(spark, sf):
-    """The feed comes week by week, in arrival order, and each week is drained before the next.
-
-    A week of a device is bounded by its line rate; more data means more weeks.
-    """
-    staged, feed, out = scratch(spark, "weeks"), scratch(spark, "feed"), scratch(spark, "carry")
-    week = F.expr(f"unix_micros(CAST(arrival_ts AS TIMESTAMP)) div {7 * DAY * 1_000_000}L")
-    fx.raw_lines(spark, sf).withColumn("week", week).write.partitionBy("week").parquet(staged)
-    lines = spark.read.parquet(staged)
-    first, last = lines.agg(F.min("week"), F.max("week")).first()
-    live = streaming_session(spark)
-    lut = fx.lut(live, sf)
-    for number in range(first, last + 1):
-        lines.filter(F.col("week") == number).drop("week").write.mode("append").parquet(feed)
-        arrived = ingest.accepted(ingest.classify_lines(
-            line_source.scan_raw_lines(live, feed, streaming=True), lut))
-        pushed = live_publish.stream_publish_carry(arrived, 4 * HOUR)
-        (
-            pushed.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint")
-            .trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
-        )
-    rows = spark.read.schema(pushed.schema).parquet(f"{out}/rows")
+    """The feed comes in files in arrival order, one to a micro-batch (the rate limit)."""
+    feed, out, checkpoint = (scratch(spark, n) for n in ("feed", "carry", "carry-checkpoint"))
+    fx.arriving_files(fx.raw_lines(spark, sf), feed)
+    arrived = ingest.accepted(ingest.classify_lines(
+        line_source.scan_raw_lines(spark, feed, streaming=True, files_per_batch=1), fx.lut(spark, sf)))
+    sink_of = live_publish.carry_sink(out, live_publish.to_folder(f"{out}/rows"), 4 * HOUR)
+    store.start_store(arrived, sink_of, checkpoint, availableNow=True).awaitTermination()
+    rows = spark.read.parquet(f"{out}/rows").drop("batch")
     return rows.withColumn("tenths", r6("tenths"))
 
 

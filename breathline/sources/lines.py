@@ -36,7 +36,7 @@ def scan_text_lines(
     its lines; collectors write small files. For a large log use ``scan_recorded_log``.
     """
     reader = _reader(spark, streaming, files_per_batch).schema("content string, device_id string")
-    files = reader.option("wholetext", True).text(path).select(
+    files = reader.text(path, wholetext=True).select(
         "device_id", F.unix_millis(F.col("_metadata.file_modification_time")).alias("_ms"),
         F.posexplode(F.split("content", "\n")).alias("_at", "line"),
     )

@@ -1,14 +1,18 @@
 """Live publishing: tumbling medians, and the carry form with ticks tied to the last push."""
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from breathline.functions import times as T
-from breathline.operators.publish import CHANNEL, MIN_READINGS, PERIOD_S, publish_windows
+from breathline.operators.publish import CHANNEL, MIN_READINGS, PERIOD_S, median_tenths, publish_windows
+from breathline.session import frozen
+from breathline.sinks import files
+
+WAITING = "device_id string, line_id bigint, us bigint, values array<double>"
+PUSHES = "device_id string, last_push bigint"
 
 
 def stream_publish_tumbling(
@@ -21,56 +25,100 @@ def stream_publish_tumbling(
     return publish_windows(windows, min_readings=min_readings)
 
 
-def stream_publish_carry(
-    lines: DataFrame, period_s: int = PERIOD_S, min_readings: int = MIN_READINGS,
-    time: str = "arrival_ts",
-) -> DataFrame:
-    """Per push and channel: the median x 10 of the readings since the last publish.
-
-    A push is due at the first line at least ``period_s`` after the previous one, the
-    first being counted from the device's first line. With too few readings it publishes
-    nothing and keeps them, but the next push still counts from it. Needs accepted lines,
-    those of a device in a micro-batch with equally many values, in arrival order between
-    micro-batches; a micro-batch is bounded by the source's rate limit, the state by one
-    period. When a device's number of channels changes, its buffer starts anew.
+def push_times(period_s: int, min_readings: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """For one device's lines of a batch, by time alone: the push that publishes each.
+
+    A push is due at the first line at least a period after the one before. It publishes
+    what is held since the last publish if that is enough, else it keeps it, but the next
+    push still counts from it. Lines after the last publish get none; lines with another
+    number of values than the due one are from before a change of channels and get -1.
+    The last row, without a line, is the device's last push.
     """
     period = period_s * 1_000_000
 
-    def push(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(batches)).sort_values(["us", "line_id"])
-        times = arrived["us"].to_numpy()
-        values = np.stack(arrived["values"].to_list())
-        channels = values.shape[1]
-        last_push, kept = (times[0], values[:0]) if not state.exists else (
-            state.get[0], np.array(state.get[1], dtype=float).reshape(-1, state.get[2])
-        )
-        if kept.shape[1] != channels:
-            # The device's channels were changed: what it kept has another meaning now.
-            kept = values[:0]
-        published, done = [], 0
-        while (due := int(np.searchsorted(times, last_push + period))) < len(times):
-            buffer = np.concatenate([kept, values[done:due + 1]])
-            last_push, done = times[due], due + 1
-            if len(buffer) < min_readings:
-                kept = buffer
-                continue
-            kept = values[:0]
-            medians = np.median(buffer * 10.0, axis=0)
-            published.append(pd.DataFrame({
-                "device_id": key[0], "push_us": last_push, "channel": np.arange(len(medians)),
-                "tenths": medians, "n": len(buffer),
-            }))
-        state.update((int(last_push), np.concatenate([kept, values[done:]]).ravel().tolist(), channels))
-        yield from published
-
-    rows = lines.select("device_id", "line_id", T.micros(F.col(time)).alias("us"), "values")
-    pushed = rows.groupBy("device_id").applyInPandasWithState(
-        push,
-        "device_id string, push_us bigint, channel int, tenths double, n bigint",
-        "last_push bigint, buffer array<double>, channels int",
-        "append", GroupStateTimeout.NoTimeout,
-    )
-    return pushed.select(
-        "device_id", T.stamp_seconds(T.from_micros(F.col("push_us"))).alias("T"),
-        "channel", F.when(~F.isnan("tenths"), F.col("tenths")).alias("tenths"), "n",
+    def run(lines: pd.DataFrame) -> pd.DataFrame:
+        lines = lines.sort_values(["us", "line_id"], ignore_index=True)
+        times, sizes = lines["us"].to_numpy(), lines["n_values"].to_numpy()
+        part = np.cumsum(np.r_[0, sizes[1:] != sizes[:-1]])
+        new = int(lines["is_new"].to_numpy().argmax())  # what waits comes before
+        last, held = lines["last_push"].iloc[0], 0
+        last = times[new] if pd.isna(last) else int(last)
+        publishes = np.full(len(lines), np.nan)
+        at = new
+        while (due := at + int(np.searchsorted(times[at:], last + period))) < len(times):
+            last, at = times[due], due + 1
+            first = max(held, int(np.searchsorted(part, part[due])))
+            if due + 1 - first >= min_readings:
+                publishes[held:first] = -1
+                publishes[first:due + 1] = last
+                held = due + 1
+        out = pd.DataFrame({"device_id": lines["device_id"], "line_id": lines["line_id"], "push_us": publishes})
+        own = pd.DataFrame({"device_id": [lines["device_id"].iloc[0]], "line_id": [None], "push_us": [float(last)]})
+        out = pd.concat([out.astype({"line_id": "Int64", "push_us": "Int64"}), own.astype({"line_id": "Int64", "push_us": "Int64"})])
+        return out
+    return run
+
+
+def carry_step(
+    arrived: DataFrame, waiting: DataFrame, pushes: DataFrame, period_s: int = PERIOD_S, min_readings: int = MIN_READINGS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One micro-batch: what is published, the lines still waiting, and each device's last push.
+
+    Python sees times and line numbers only, three numbers per line of the batch, which
+    the source's rate limit bounds. Lines meet their push by device and number, and
+    medians are grouped by push and channel, so a hot device is spread over all tasks.
+    """
+    lines = frozen(waiting.withColumn("is_new", F.lit(False)).unionByName(arrived.withColumn("is_new", F.lit(True))))
+    busy = lines.filter("is_new").select("device_id").distinct()
+    timed = lines.join(busy, "device_id", "left_semi").join(pushes, "device_id", "left").select(
+        "device_id", "line_id", "us", F.size("values").alias("n_values"), "is_new", "last_push")
+    given = frozen(timed.groupBy("device_id").applyInPandas(
+        push_times(period_s, min_readings), "device_id string, line_id bigint, push_us bigint"))
+    joined = lines.join(given.filter(F.col("line_id").isNotNull()), ["device_id", "line_id"], "left")
+    published = (
+        joined.filter(F.col("push_us") >= 0)
+        .select("device_id", "push_us", F.posexplode_outer("values").alias("channel", "v"))
+        .groupBy("device_id", "push_us", "channel").agg(median_tenths("v").alias("tenths"), F.count(F.lit(1)).alias("n"))
+        .select("device_id", T.stamp_seconds(T.from_micros(F.col("push_us"))).alias("T"), "channel", "tenths", "n")
     )
+    left = joined.filter(F.col("push_us").isNull()).select("device_id", "line_id", "us", "values")
+    now = given.filter(F.col("line_id").isNull()).select("device_id", F.col("push_us").alias("last_push"))
+    return published, left, now.unionByName(pushes.join(now, "device_id", "left_anti"))
+
+
+def carry_sink(
+    root: str, publish: Callable[[DataFrame, int], None], period_s: int = PERIOD_S, min_readings: int = MIN_READINGS,
+    time: str = "arrival_ts",
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for accepted lines: hand what is due to ``publish``.
+
+    Needs lines in arrival order between micro-batches. What waits for the next batch and
+    the last pushes are kept in a folder per batch, which a repeat replaces.
+    """
+    def folder(batch_id: int, name: str) -> str:
+        return f"{root}/_carry/batch={batch_id}/{name}"
+
+    def kept(spark: SparkSession, batch_id: int, name: str, schema: str) -> DataFrame:
+        path = folder(batch_id, name)
+        return spark.read.schema(schema).parquet(path) if files.exists(spark, path) else spark.createDataFrame([], schema)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        arrived = batch.select("device_id", "line_id", T.micros(F.col(time)).alias("us"), "values")
+        published, waiting, pushes = carry_step(
+            arrived, kept(spark, batch_id - 1, "waiting", WAITING), kept(spark, batch_id - 1, "pushes", PUSHES),
+            period_s, min_readings)
+        publish(published, batch_id)
+        waiting.write.mode("overwrite").parquet(folder(batch_id, "waiting"))
+        pushes.write.mode("overwrite").parquet(folder(batch_id, "pushes"))
+        for name in files.names(spark, f"{root}/_carry"):
+            if int(name.removeprefix("batch=")) < batch_id - 1:
+                files.delete(spark, f"{root}/_carry/{name}")
+    return write
+
+
+def to_folder(path: str) -> Callable[[DataFrame, int], None]:
+    """Each batch in a folder of its own, ``batch=<n>``."""
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return write

@@ -91,11 +91,10 @@ def sync_sink(root: str) -> Callable[[DataFrame, int], None]:
 
 
 def publish_sink(root: str, lut: DataFrame) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function for ``stream_publish_carry``: store what it publishes.
+    """What ``carry_sink`` publishes goes to the store.
 
     Channels become sensors, missing medians are left out, those that can't be stored go
-    to ``rejected_rows``, and ids follow each device's mark. The batch is frozen, so that
-    its state is worked out only once.
+    to ``rejected_rows``, and ids follow each device's mark.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -26,6 +26,13 @@ def drain(stream, out, mode="append"):
     )
 
 
+def push(lines, root, **options):
+    """Drain a stream of accepted lines through the carry sink; what it published so far."""
+    sink = live.carry_sink(root, live.to_folder(f"{root}/rows"), **options)
+    store.start_store(lines, sink, f"{root}/checkpoint", availableNow=True).awaitTermination()
+    return lines.sparkSession.read.parquet(f"{root}/rows")
+
+
 def push_model(lines, period, least):
     """The publishing loop over one device's (seconds, values)."""
     last_push, buffer, out = lines[0][0], [], []
@@ -54,10 +61,9 @@ def test_carry_stream_matches_loop_over_restarts(spark):
     feed, out = scratch(spark, "lines"), scratch(spark, "pushes")
     for start in range(0, len(rows), 70):
         spark.createDataFrame(rows[start:start + 70], LINES).write.mode("append").parquet(feed)
-        pushed = live.stream_publish_carry(spark.readStream.schema(LINES).parquet(feed))
-        drain(pushed, out)
+        rows_so_far = push(spark.readStream.schema(LINES).parquet(feed), out)
     got = {}
-    for r in spark.read.parquet(f"{out}/rows").collect():
+    for r in rows_so_far.collect():
         got[r.device_id, r.T, r.channel] = (round(r.tenths, 6), r.n)
     want = {}
     for device, series in lines.items():
@@ -71,8 +77,7 @@ def test_carry_stream_keeps_missing_channel_missing(spark):
     rows = [("a", i, T0 + dt.timedelta(seconds=5 * i), [1.0, float("nan") if i == 1 else 2.0]) for i in range(3)]
     feed, out = scratch(spark, "lines"), scratch(spark, "pushes")
     spark.createDataFrame(rows, LINES).write.parquet(feed)
-    drain(live.stream_publish_carry(spark.readStream.schema(LINES).parquet(feed)), out)
-    got = {r.channel: (r.tenths, r.n) for r in spark.read.parquet(f"{out}/rows").collect()}
+    got = {r.channel: (r.tenths, r.n) for r in push(spark.readStream.schema(LINES).parquet(feed), out).collect()}
     assert got == {0: (10.0, 3), 1: (None, 3)}
 
 
@@ -82,9 +87,27 @@ def test_carry_stream_starts_anew_when_channels_change(spark):
              [("a", i, T0 + dt.timedelta(seconds=4 * i), [float(i), 50.0]) for i in range(2, 5)]]
     for part in parts:
         spark.createDataFrame(part, LINES).write.mode("append").parquet(feed)
-        drain(live.stream_publish_carry(spark.readStream.schema(LINES).parquet(feed), min_readings=2), out)
-    got = sorted((r.channel, r.tenths, r.n) for r in spark.read.parquet(f"{out}/rows").collect())
-    assert got == [(0, 25.0, 2), (1, 500.0, 2)]
+        pushed = push(spark.readStream.schema(LINES).parquet(feed), out, min_readings=2)
+    assert sorted((r.channel, r.tenths, r.n) for r in pushed.collect()) == [(0, 25.0, 2), (1, 500.0, 2)]
+
+
+def test_carry_of_a_hot_device_in_many_batches(spark):
+    """Nine lines in ten are of one device; any cut into batches gives the same."""
+    rng = random.Random(8)
+    rows, t = [], 0.0
+    for i in range(600):
+        t += rng.choice([0.2, 0.7, 3, 12])
+        rows.append(("hot" if i % 10 else "cold", i, T0 + dt.timedelta(seconds=t), [float(rng.randrange(300, 900)) for _ in range(3)]))
+    results = []
+    for size in (600, 97):
+        feed, out = scratch(spark, "lines"), scratch(spark, "pushes")
+        for start in range(0, len(rows), size):
+            spark.createDataFrame(rows[start:start + size], LINES).coalesce(1).write.mode("append").parquet(feed)
+            pushed = push(spark.readStream.schema(LINES).option("maxFilesPerTrigger", 1).parquet(feed), out)
+        results.append(sorted((r.device_id, r.T, r.channel, r.tenths, r.n) for r in pushed.collect()))
+    assert results[0] == results[1] and len({r[0] for r in results[0]}) == 2
+    want = push_model([((r[2] - T0).total_seconds(), r[3]) for r in rows if r[0] == "hot"], 10, 3)
+    assert [r[4] for r in results[0] if r[0] == "hot" and r[2] == 0] == [n for *_, n in want]
 
 
 def test_tumbling_stream_equals_batch_for_closed_windows(spark):
@@ -133,8 +156,8 @@ def test_lines_to_stored_readings(spark):
         spark.createDataFrame(part, RAW_LINE).write.mode("append").parquet(feed)
         raw = line_source.scan_raw_lines(spark, feed, streaming=True, files_per_batch=1000)
         lines = ingest.accepted(ingest.classify_lines(raw, lut))
-        pushed = live.stream_publish_carry(lines)
-        store.start_store(pushed, store.publish_sink(root, lut), checkpoint, availableNow=True).awaitTermination()
+        sink = live.carry_sink(root, store.publish_sink(root, lut))
+        store.start_store(lines, sink, checkpoint, availableNow=True).awaitTermination()
     got = sorted((r.id, (r["T"] - T0).seconds, r.SENSOR, r.PPM_10X) for r in store.stored_rows(spark, root).collect())
     # Pushes at 12 s (lines 0, 1, 3), 24 s (4, 5, 6), 36 s (7, 8, 9), the last above the column's range.
     assert got[1:] == [(42, 12, 3, 4010), (43, 12, 4, 7000), (44, 24, 3, 4050), (45, 24, 4, 7000), (46, 36, 3, 4090)]
@@ -176,8 +199,11 @@ def test_text_files_to_stored_readings(spark):
         raw = line_source.scan_text_lines(spark, folder, streaming=True)
         lines = ingest.accepted(ingest.classify_lines(raw, lut))
         assert [f.name for f in raw.schema] == RAW_LINE.fieldNames()
-        pushed = live.stream_publish_carry(lines)
-        store.start_store(pushed, store.publish_sink(root, lut), checkpoint, availableNow=True).awaitTermination()
+        seen = line_source.scan_text_lines(spark, folder).orderBy("line_id").collect()
+        assert len({r.line_id for r in seen}) == len(seen) and [r.arrival_ts for r in seen] == sorted(r.arrival_ts for r in seen)
+        assert [float(r.line.split(",")[0]) for r in seen] == sorted(float(r.line.split(",")[0]) for r in seen)
+        sink = live.carry_sink(root, store.publish_sink(root, lut))
+        store.start_store(lines, sink, checkpoint, availableNow=True).awaitTermination()
     got = sorted((r.id, (r["T"] - T0).seconds, r.SENSOR, r.PPM_10X) for r in store.stored_rows(spark, root).collect())
     # a push takes the first line of a file, and the lines since the last push
     assert got == [(1, 12, 3, 4015), (2, 24, 3, 4120), (3, 36, 3, 4220)]
