@@ -278,16 +278,20 @@ def _words(shared):
 
 
 def sample(docs: DataFrame, text: str, lang: str, sample_docs: int = SAMPLE_DOCS) -> list[tuple[str, str]]:
-    """At most ``sample_docs`` texts of each language, those with the least hashes."""
+    """At most ``sample_docs`` different texts of each language, those with the least hashes."""
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("spot"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # copies count once, else a text with many of them leaves no room for others
+    hashes = rows.select("lang", "spot").distinct()
+    counts = hashes.groupBy("lang").agg(F.count("*").alias("n"))
     # about twice as many as are wanted, ranked among themselves
     # a row per language, fewer than the field has weights
-    near = rows.join(F.broadcast(counts), "lang").where(
+    near = hashes.join(F.broadcast(counts), "lang").where(
         F.pmod("spot", F.lit(1 << 30)) < F.lit(2.0 * sample_docs + 50) / F.col("n") * (1 << 30))
     ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("spot")))
-    return sorted((r["lang"], r["text"]) for r in ranked.where(F.col("rank") <= sample_docs).collect())
+    least = ranked.where(F.col("rank") <= sample_docs).select("lang", "spot")
+    one = rows.join(F.broadcast(least), ["lang", "spot"]).groupBy("lang", "spot").agg(F.min("text").alias("text"))
+    return sorted((r["lang"], r["text"]) for r in one.collect())
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS, rounds: int = ROUNDS) -> Field | None:

@@ -305,10 +305,12 @@ def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_text_model(pages: DataFrame, page: str = "html", sample_pages: int = SAMPLE_PAGES) -> np.ndarray:
-    """Weights of the text features, fitted on about ``sample_pages`` pages by their hash; zero without both kinds."""
-    rows = pages.select(F.col(page).alias("page")).where(F.col(page).isNotNull())
-    share = min(1.0, sample_pages / max(1, rows.count()))
-    some = rows.where(F.pmod(F.xxhash64("page"), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
+    """Weights of the text features, fitted on about ``sample_pages`` different pages by their hash; zero without both kinds."""
+    rows = pages.select(F.col(page).alias("page")).where(F.col(page).isNotNull()).withColumn("spot", F.xxhash64("page"))
+    # copies count once, as in langid.sample
+    share = min(1.0, sample_pages / max(1, rows.select("spot").distinct().count()))
+    near = rows.where(F.pmod("spot", F.lit(1 << 30)) < F.lit(share * (1 << 30)))
+    some = near.groupBy("spot").agg(F.min("page").alias("page")).select("page")
     got = some.mapInArrow(_examples, "x array<double>, y double").groupBy("x", "y").count().collect()
     weights = np.zeros(FEATURES)
     y, times = np.array([r["y"] for r in got]), np.array([r["count"] for r in got], dtype=float)
