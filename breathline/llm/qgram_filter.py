@@ -193,7 +193,8 @@ class Index:
             some = probe[at:at + ALIGN]
             edits, begin, end = self.aligned(codes, some, diagonal[at:at + ALIGN])
             good = np.flatnonzero(edits <= self.budget[some])
-            whose = np.searchsorted(starts, np.maximum(begin[good], 0), side="right") - 1
+            # by its middle: a stretch may begin in the gap before its text, or end in the one after
+            whose = np.searchsorted(starts, np.maximum((begin[good] + end[good]) // 2, 0), side="right") - 1
             for j, w in zip(good.tolist(), whose.tolist(), strict=True):
                 places = parts[w][1]
                 a = max(0, int(begin[j] - starts[w]))
