@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import debruijn, kneser_ney, langid, lines, maincontent, pseudonyms, qgram_filter, refine, sampling, simhash
+from breathline.llm import debruijn, jaccard, kneser_ney, langid, lines, maincontent, pseudonyms, qgram_filter, refine, sampling, simhash
 from breathline.llm.common import table
 
 
@@ -57,9 +57,13 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maincontent.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pseudonyms, op2_quality, op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op8_language, op9_exact_dedup,
-    op10_main_text,
+    op10_main_text, op11_jaccard_join,
 )}
 
 _OP4 = r"""
