@@ -213,7 +213,7 @@ def _lists(classes: DataFrame, most: int, percent: int) -> DataFrame:
     # the counts name all columns, as only then both sides read the same shuffle
     common = dealt.groupBy("e").agg(F.count("*").alias("k"), F.max("c").alias("last_c"), F.max("n").alias("last_n")).where(
         "k > 1 and last_c >= 0 and last_n >= 0")
-    listed = dealt.join(common.select("e", "k"), "e")
+    listed = dealt.join(common.select("e", "k").hint("merge"), "e")
     by_set = listed.groupBy("c", "n").agg(F.array_sort(F.collect_list(F.struct("k", "e"))).alias("at"))
     stay = F.greatest(F.lit(0), F.size("at") - _out_of_lists(n, percent)).cast("int")
     return by_set.select("c", "n", F.explode(F.slice("at", F.lit(1), stay)).alias("x")).select("x.e", "c", "n")
