@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import debruijn, jaccard, kneser_ney, langid, lines, maincontent, pseudonyms, qgram_filter, refine, sampling, simhash
+from breathline.llm import debruijn, jaccard, kneser_ney, langid, lines, maincontent, pseudonyms, qgram_filter, refine, sampling, simhash, vectorcode
 from breathline.llm.common import table
 
 
@@ -61,9 +61,13 @@ def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcode.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pseudonyms, op2_quality, op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op8_language, op9_exact_dedup,
-    op10_main_text, op11_jaccard_join,
+    op10_main_text, op11_jaccard_join, op13_vector_codes,
 )}
 
 _OP4 = r"""
@@ -137,4 +141,38 @@ g AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
-ORACLE = {"op4_substring_dedup": _OP4, "op6_mix_sources": _OP6, "op7_line_dedup": _OP7, "op9_exact_dedup": _OP9}
+def _op13_round(n: int) -> str:
+    """One round: each part's nearest entry, and the entries moved to the floor of their parts' mean."""
+    return rf"""
+a{n} AS (SELECT DISTINCT ON (v.row, v.part) v.row, v.part, b.entry, v.p,
+                list_sum(list_transform(range(1, len(v.p) + 1), lambda i: (v.p[i] - b.p[i]) * (v.p[i] - b.p[i]))) AS d
+         FROM v JOIN b{n} AS b USING (part) ORDER BY v.row, v.part, d, b.entry),
+b{n + 1} AS (
+  SELECT b.part, b.entry, coalesce(m.p, b.p) AS p
+  FROM b{n} AS b LEFT JOIN (
+    SELECT part, entry, list(CAST((s - ((s % k) + k) % k) / k AS BIGINT) ORDER BY i) AS p
+    FROM (SELECT part, entry, i, CAST(sum(p[i]) AS DOUBLE) AS s, count(*) AS k
+          FROM (SELECT part, entry, p, unnest(range(1, len(p) + 1)) AS i FROM a{n}) GROUP BY part, entry, i)
+    GROUP BY part, entry) AS m USING (part, entry)),"""
+
+
+_OP13 = rf"""
+WITH e AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x,
+         row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS row
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT row, part, x[part * (len(x) // 16) + 1:(part + 1) * (len(x) // 16)] AS p FROM e, (SELECT unnest(range(0, 16)) AS part)),
+b0 AS (SELECT part, row AS entry, p FROM v WHERE row < 64),
+{_op13_round(0)}
+{_op13_round(1)}
+a AS (SELECT DISTINCT ON (v.row, v.part) v.row, v.part, b.entry,
+             list_sum(list_transform(range(1, len(v.p) + 1), lambda i: (v.p[i] - b.p[i]) * (v.p[i] - b.p[i]))) AS d
+      FROM v JOIN b2 AS b USING (part) ORDER BY v.row, v.part, d, b.entry),
+c AS (SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a GROUP BY row)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(p, ','), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256
+FROM e JOIN c USING (row)
+"""
+
+ORACLE = {"op4_substring_dedup": _OP4, "op6_mix_sources": _OP6, "op7_line_dedup": _OP7, "op9_exact_dedup": _OP9, "op13_vector_codes": _OP13}
