@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from breathline.llm import debruijn, jaccard, kneser_ney, langid, lines, maincontent, pseudonyms, qgram_filter, refine, sampling, simhash, vectorcode
+from breathline.llm import debruijn, divergence, jaccard, kneser_ney, langid, lines, maincontent, pseudonyms, qgram_filter, refine, sampling, simhash, vectorcode
 from breathline.llm.common import table
 
 
@@ -61,13 +61,17 @@ def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorcode.compress(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_pseudonyms, op2_quality, op3_decontaminate, op4_substring_dedup, op5_simhash, op6_mix_sources, op7_line_dedup, op8_language, op9_exact_dedup,
-    op10_main_text, op11_jaccard_join, op13_vector_codes,
+    op10_main_text, op11_jaccard_join, op12_source_divergence, op13_vector_codes,
 )}
 
 _OP4 = r"""
@@ -141,6 +145,37 @@ g AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
+_OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+                        lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms
+  FROM documents),
+t AS (SELECT lang, source, row, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source),
+p AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+         1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5) // (s.n + 5 * v.v) AS p,
+         1 + CAST(1000000000 AS HUGEINT) * (k.n + 5) // (v.n + 5 * v.v) AS q
+  FROM s JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+o AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+  FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def _op13_round(n: int) -> str:
     """One round: each part's nearest entry, and the entries moved to the floor of their parts' mean."""
     return rf"""
@@ -175,4 +210,4 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM e JOIN c USING (row)
 """
 
-ORACLE = {"op4_substring_dedup": _OP4, "op6_mix_sources": _OP6, "op7_line_dedup": _OP7, "op9_exact_dedup": _OP9, "op13_vector_codes": _OP13}
+ORACLE = {"op4_substring_dedup": _OP4, "op6_mix_sources": _OP6, "op7_line_dedup": _OP7, "op9_exact_dedup": _OP9, "op12_source_divergence": _OP12, "op13_vector_codes": _OP13}
