@@ -206,6 +206,24 @@ pushed AS (
     SELECT device_id, grp, max(last_push) AS push_us, count(*) AS n FROM run
     GROUP BY device_id, grp HAVING bool_or(published))"""
 
+# The same buffer over accepted lines, six hours wide, and the figures of what it holds.
+DRAWN = LONG + """,
+held AS (
+    SELECT device_id, line_id, row_number() OVER (PARTITION BY device_id ORDER BY arrival_ts) AS rn,
+           count(*) OVER (PARTITION BY device_id ORDER BY arrival_ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW) AS n
+    FROM good_lines),
+run AS (
+    SELECT device_id, NULL::BIGINT AS line_id, 0::BIGINT AS rn, 0::BIGINT AS kept, FALSE AS drawn
+    FROM (SELECT DISTINCT device_id FROM held)
+    UNION ALL
+    SELECT h.device_id, h.line_id, h.rn, CASE WHEN run.kept + 1 >= 5 THEN h.n ELSE run.kept + 1 END, run.kept + 1 >= 5
+    FROM run JOIN held h ON h.device_id = run.device_id AND h.rn = run.rn + 1),
+figures AS (
+    SELECT device_id, line_id, arrival_ts, channel, v AS latest, avg(v) OVER w AS mean, stddev_pop(v) OVER w AS sd,
+           count(*) OVER w AS n, min(v) OVER w AS low, max(v) OVER w AS high
+    FROM long WINDOW w AS (PARTITION BY device_id, channel ORDER BY arrival_ts
+        RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW))"""
+
 CHANNELS = [f"vs[{c + 1}]" for c in range(5)]
 LIMITS = ", ".join(
     f"min({v}) OVER w AS lo{c}, max({v}) OVER w AS hi{c}" for c, v in enumerate(CHANNELS)
@@ -389,6 +407,11 @@ ORACLE: dict[str, str] = {
                round_even(round(stddev_pop(v) * 1000, 6), 0) / 1000 AS sd, max_by(v, ts) AS latest, count(*) AS n
         FROM slides GROUP BY device_id, sensor_id, hour_end
         HAVING make_timestamp(hour_end * 3600000000) <= (SELECT max(ts) FROM arrivals) - INTERVAL 1 HOUR""",
+    "stream_trailing_rows": f"""WITH RECURSIVE {DRAWN}
+        SELECT device_id, line_id, arrival_ts, channel, latest, round_even(round(mean * 1000, 6), 0) / 1000 AS mean,
+               round_even(round(sd * 1000, 6), 0) / 1000 AS sd, n,
+               CASE WHEN min(high - low) OVER (PARTITION BY device_id, line_id) > 0 THEN round(1 - (latest - low) / (high - low), 6) END AS scaled
+        FROM figures SEMI JOIN (SELECT * FROM run WHERE drawn) USING (device_id, line_id)""",
     "stream_join_ranges": f"WITH {DASH} SELECT * FROM dash",
     "stream_refresh_summary": _refreshed(
         '"min"', '"max"', "mean", "sd", "median", '"last_T"', "last_point", '"N"', "avg_sampling_period"

@@ -16,6 +16,7 @@ from breathline.sinks import lines as line_sink
 from breathline.sinks import readings as sink
 from breathline.sources import lines as line_source
 from breathline.sources import readings as source
+from breathline.streaming import live as live_view
 from breathline.streaming import publish as live_publish
 from breathline.streaming import store
 from breathline.streaming import views
@@ -590,6 +591,18 @@ def stream_trailing(spark, sf):
     return run_to_parquet(spark, view, "trailing")
 
 
+@query
+def stream_trailing_rows(spark, sf):
+    """The live view of every drawn line; the feed comes in files, one to a micro-batch."""
+    live = live_view.with_state_store(streaming_session(spark))
+    feed = scratch(spark, "live-feed")
+    fx.arriving_files(fx.raw_lines(spark, sf), feed)
+    lines = ingest.accepted(ingest.classify_lines(
+        line_source.scan_raw_lines(live, feed, streaming=True, files_per_batch=1), fx.lut(live, sf)))
+    rows = run_to_parquet(spark, live_view.stream_trailing_rows(lines, 6 * HOUR), "live")
+    return rows.filter("not late").drop("late").withColumn("scaled", r6("scaled"))
+
+
 @query
 def stream_join_ranges(spark, sf):
     rows = enrich.flag_readings(fx.readings(spark, sf, streaming=True), fx.ranges(spark, sf))
