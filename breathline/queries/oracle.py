@@ -237,6 +237,8 @@ ORACLE: dict[str, str] = {
     # Sources
     "scan_raw_lines": f"""WITH {RAW}
         SELECT device_id, rtrim(line, chr(13) || chr(10)) AS line FROM raw WHERE line <> ''""",
+    "scan_text_feed": f"""WITH {RAW}
+        SELECT device_id, rtrim(line, chr(13) || chr(10)) AS line, TRUE AS own_id FROM raw WHERE line <> ''""",
     "scan_adc_samples": f"WITH {SAMPLES} SELECT * FROM samples",
     "scan_ranges": """SELECT CAST(p_partkey AS INT) AS sensor_id, round(p_retailprice, 6) AS "set",
         round(p_retailprice - p_size, 6) AS "min", round(p_retailprice + p_size, 6) AS "max" FROM part""",

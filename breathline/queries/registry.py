@@ -14,6 +14,7 @@ from breathline.schema import KEY, READING
 from breathline.session import scratch, streaming_session, utc
 from breathline.sinks import lines as line_sink
 from breathline.sinks import readings as sink
+from breathline.sources import feed as line_feed
 from breathline.sources import lines as line_source
 from breathline.sources import readings as source
 from breathline.streaming import live as live_view
@@ -101,6 +102,17 @@ def scan_raw_lines(spark, sf):
     return line_source.scan_text_lines(spark, path).select("device_id", "line")
 
 
+@query
+def scan_text_feed(spark, sf):
+    """The same text files cut by bytes; ``own_id`` says that no other line has the line's id."""
+    path = scratch(spark, "text-feed")
+    bare = fx.raw_lines(spark, sf).withColumn("line", L.trim_line(F.col("line")))
+    line_sink.write_lines(bare, path)
+    lines = line_feed.scan_text_feed(spark, path, split_bytes=1 << 16)
+    same = lines.groupBy("line_id").agg(F.count("*").alias("lines"))
+    return lines.join(same, "line_id").select("device_id", "line", (F.col("lines") == 1).alias("own_id"))
+
+
 @query
 def scan_adc_samples(spark, sf):
     path = scratch(spark, "samples")

@@ -33,7 +33,8 @@ def scan_text_lines(
     A line arrives with its file: its time is that of the file, a microsecond later for
     each line before it, and its id follows from both, so ids rise in arrival order and
     a repeated read gives the same ones. A file is read as one row to know the places of
-    its lines; collectors write small files. For a large log use ``scan_recorded_log``.
+    its lines, and files of one device need times of their own. ``feed.scan_text_feed`` has
+    neither bound; for a log with times in its lines use ``scan_recorded_log``.
     """
     reader = _reader(spark, streaming, files_per_batch).schema("content string, device_id string")
     files = reader.text(path, wholetext=True).select(
