@@ -387,6 +387,7 @@ ORACLE: dict[str, str] = {
     "sync_incremental": f"WITH {MISSING} SELECT * FROM dst UNION ALL SELECT * FROM missing",
     "sync_chunks": f"""WITH {MISSING} SELECT *,
         (row_number() OVER (PARTITION BY device_id ORDER BY id) - 1) // 101 AS chunk_no FROM missing""",
+    "sync_send": f"WITH {RD} SELECT * FROM rd",
     "mirror_two_way": f"""WITH {MISSING}
         SELECT 'local' AS store, * FROM rd WHERE device_id = 'click'
         UNION ALL SELECT 'local', * FROM dst WHERE device_id <> 'click'

@@ -14,6 +14,7 @@ from breathline.schema import KEY, READING
 from breathline.session import scratch, streaming_session, utc
 from breathline.sinks import lines as line_sink
 from breathline.sinks import readings as sink
+from breathline.sinks import send as sender
 from breathline.sources import feed as line_feed
 from breathline.sources import lines as line_source
 from breathline.sources import readings as source
@@ -536,6 +537,16 @@ def sync_chunks(spark, sf):
     return sink.sync_stores_in_chunks(spark, own, path)
 
 
+@query
+def sync_send(spark, sf):
+    """Chunks of the lower half of the ids, then a second send of the rest; what counts as sent."""
+    root, rows = scratch(spark, "sent"), fx.readings(spark, sf)
+    half = rows.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY id)")).first()[0]
+    sender.send_in_chunks(rows.filter(F.col("id") <= half), root, 1001)
+    sender.send_in_chunks(rows, root, 1001)
+    return sender.scan_sent(spark, root)
+
+
 @query
 def mirror_two_way(spark, sf):
     """The local store has its own rows only, the central one lags behind."""
