@@ -1,9 +1,12 @@
 """Views that look back along a device's rows."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from breathline.functions import times as T
 from breathline.functions.numbers import round_stat
+from breathline.plans import frames
 from breathline.plans.chunks import with_lags, with_ordinal, with_states, with_time_buckets
 from breathline.plans.sizing import broadcast_if_small
 from breathline.schema import KEY
@@ -42,6 +45,80 @@ def trailing_stats(
     )
 
 
+def _bucketed_groups(df: DataFrame, keys: list[str], window_s: int, time: str):
+    """Rows grouped by key and time bucket, a bounded stretch of time with its halo; and the frame's width."""
+    us = window_s * 1_000_000
+    timed = df.withColumn("_us", T.micros(F.col(time)))
+    return with_time_buckets(timed, "_us", us, BUCKET_WINDOWS * us).groupBy(*keys, "_bucket"), us
+
+
+def _numbers(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values with NaN for null, whether there is one)."""
+    return column.cast(pa.float64()).fill_null(np.nan).to_numpy(), column.is_valid().to_numpy()
+
+
+def trailing_stats_dense(
+    arrivals: DataFrame, window_s: int = WINDOW_S, time: str = "ts", value: str = "v"
+) -> DataFrame:
+    """``trailing_stats`` in time that doesn't hang on the rows of a frame, for frames of hundreds and more.
+
+    A task holds a sensor's rows of ``BUCKET_WINDOWS`` windows.
+    """
+    groups, us = _bucketed_groups(arrivals.select(*KEY, "id", time, F.col(value).cast("double").alias("latest")), KEY, window_s, time)
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_us")
+        values, there = _numbers(rows.column("latest"))
+        n, mean, sd = frames.mean_and_sd(values, there, *frames.bounds(rows.column("_us").to_numpy(), us))
+        out = rows.select([*KEY, "id", time, "latest"])
+        for name, figures in (("mean", mean), ("sd", sd)):
+            out = out.append_column(name, pa.array(figures, mask=n == 0))
+        return out.append_column("n", pa.array(n.astype(np.int64))).filter(pa.array(~rows.column("_halo").to_numpy()))
+
+    kept = arrivals.select(*KEY, "id", time).schema
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.fields)
+    done = groups.applyInArrow(run, f"{names}, latest double, mean double, sd double, n long")
+    return done.withColumn("mean", round_stat(F.col("mean"))).withColumn("sd", round_stat(F.col("sd")))
+
+
+def trailing_minmax_scale_dense(
+    lines: DataFrame, window_s: int = WINDOW_S, time: str = "arrival_ts"
+) -> DataFrame:
+    """``trailing_minmax_scale`` in time that doesn't hang on the rows of a frame, for any number of channels."""
+    groups, us = _bucketed_groups(lines.select("device_id", "line_id", time, F.col("values").cast("array<double>").alias("vs")), ["device_id"], window_s, time)
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_us").combine_chunks()
+        first, end = frames.bounds(rows.column("_us").to_numpy(), us)
+        lists = rows.column("vs").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        sizes = np.where(lists.is_valid().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy()), 0)
+        flat, valid = _numbers(pa.chunked_array([lists.flatten()]))
+        starts = np.cumsum(sizes) - sizes
+        channels = int(sizes.max()) if len(sizes) else 0
+        constant, scaled = np.zeros(len(rows), dtype=bool), []
+        for c in range(channels):
+            has = np.flatnonzero(sizes > c)
+            v, there = np.full(len(rows), np.nan), np.zeros(len(rows), dtype=bool)
+            v[has], there[has] = flat[starts[has] + c], valid[starts[has] + c]
+            low = frames.extreme(v, first, end, np.fmin)
+            high = frames.extreme(np.where(there, v, -np.inf), first, end, np.maximum)
+            span = high - low
+            constant |= span == 0
+            with np.errstate(invalid="ignore", divide="ignore"):
+                scaled.append((there, 1.0 - (v - low) / span))
+        shown = ~constant & ~rows.column("_halo").to_numpy()
+        device, line = rows.column("device_id"), rows.column("line_id")
+        out = []
+        for c, (there, x) in enumerate(scaled):
+            at = np.flatnonzero(shown & there)
+            out.append(pa.table({"device_id": device.take(at), "line_id": line.take(at), "channel": pa.array(np.full(len(at), c, np.int32)), "scaled": x[at]}))
+        return pa.concat_tables(out) if out else pa.table(
+            {"device_id": pa.array([], pa.string()), "line_id": pa.array([], pa.int64()), "channel": pa.array([], pa.int32()), "scaled": pa.array([], pa.float64())})
+
+    return groups.applyInArrow(run, "device_id string, line_id long, channel int, scaled double")
+
+
 def trailing_minmax_scale(
     lines: DataFrame, channels: int, window_s: int = WINDOW_S, time: str = "arrival_ts"
 ) -> DataFrame:

@@ -421,3 +421,5 @@ ORACLE: dict[str, str] = {
     ),
     "stream_sync_sink": f"WITH {MISSING} SELECT * FROM dst UNION ALL SELECT * FROM missing",
 }
+# Other plans of the same operators.
+ORACLE |= {f"{name}_dense": ORACLE[name] for name in ("trailing_stats", "trailing_minmax_scale")}

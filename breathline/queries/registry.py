@@ -483,6 +483,16 @@ def trailing_minmax_scale(spark, sf):
     return rows.withColumn("scaled", r6("scaled"))
 
 
+@query
+def trailing_stats_dense(spark, sf):
+    return trailing.trailing_stats_dense(fx.arrivals(spark, sf), 2 * HOUR)
+
+
+@query
+def trailing_minmax_scale_dense(spark, sf):
+    return trailing.trailing_minmax_scale_dense(accepted(spark, sf), DAY).withColumn("scaled", r6("scaled"))
+
+
 @query
 def trailing_warmup_gate(spark, sf):
     return trailing.trailing_warmup_gate(fx.arrival_lines(spark, sf), 2 * HOUR)
