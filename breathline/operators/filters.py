@@ -1,6 +1,6 @@
 """Time and id filters; bounds are literals, so they reach the Parquet scan."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from breathline.functions import times as T
 from breathline.plans.sizing import broadcast_if_small
@@ -18,10 +18,14 @@ def filter_local_dates(
     return time_filter(readings, *T.local_date_bounds(start, end, as_of, zone))
 
 
+def recent_bounds(as_of: str, days: int = 2, zone: str = T.TZONE) -> tuple[Column, Column]:
+    today = T.to_local(F.lit(as_of).cast("timestamp_ntz"), zone).cast("date")
+    return T.local_date_bounds(F.date_sub(today, days), today, as_of, zone)
+
+
 def filter_recent_days(readings: DataFrame, as_of: str, days: int = 2, zone: str = T.TZONE) -> DataFrame:
     """The default view: the last ``days`` local days."""
-    today = T.to_local(F.lit(as_of).cast("timestamp_ntz"), zone).cast("date")
-    return time_filter(readings, *T.local_date_bounds(F.date_sub(today, days), today, as_of, zone))
+    return time_filter(readings, *recent_bounds(as_of, days, zone))
 
 
 def filter_zoom(

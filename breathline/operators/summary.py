@@ -38,10 +38,15 @@ def device_summary(readings: DataFrame, as_of: str) -> DataFrame:
     A missing value makes the figures of its group NULL, it is not skipped. The last row
     is the one with the highest id, not the latest time.
     """
+    return summary_of_counts(value_counts(readings), as_of)
+
+
+def summary_of_counts(counts: DataFrame, as_of: str) -> DataFrame:
+    """The same of ``value_counts``; a value may come in several rows."""
     x, n = F.col("PPM_10X"), F.col("n")
     whole = F.sum(F.when(x.isNull(), n).otherwise(0)) == 0
     ten = F.lit(10.0)
-    per_group = value_counts(readings).groupBy(*KEY).agg(
+    per_group = counts.groupBy(*KEY).agg(
         F.when(whole, F.min(x) / ten).alias("min"),
         F.when(whole, F.max(x) / ten).alias("max"),
         F.when(whole, F.sum(n * x).cast("double") / F.sum(n) / ten).alias("mean"),

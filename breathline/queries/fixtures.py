@@ -119,10 +119,10 @@ def raw_lines(spark: SparkSession, sf: str, gain: float = 60.0, base: float = 0.
     )
 
 
-def arriving_files(lines: DataFrame, path: str, count: int = 4) -> None:
-    """Write lines as ``count`` files, each after the one before in time and in its own time stamp."""
+def arriving_files(lines: DataFrame, path: str, count: int = 4, order: str = "arrival_ts") -> None:
+    """Write lines as ``count`` files, each after the one before in ``order`` and in its own time stamp."""
     spark = lines.sparkSession
-    lines.repartitionByRange(count, "arrival_ts").write.parquet(path)
+    lines.repartitionByRange(count, order).write.parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     parts = sorted(s.getPath().toString() for s in files.listStatus(folder) if s.getPath().getName().startswith("part-"))

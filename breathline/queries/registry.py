@@ -19,6 +19,7 @@ from breathline.sources import feed as line_feed
 from breathline.sources import lines as line_source
 from breathline.sources import readings as source
 from breathline.streaming import live as live_view
+from breathline.streaming import partials
 from breathline.streaming import publish as live_publish
 from breathline.streaming import store
 from breathline.streaming import views
@@ -656,6 +657,22 @@ def stream_refresh_summary(spark, sf):
     return back.select("device_id", "sensor_id", "last_T", "last_point", "N", *[r6(c).alias(c) for c in figures])
 
 
+@query
+def stream_refresh_counts(spark, sf):
+    """The same from hourly counts, with a feed of files, one to a tick."""
+    root, out, checkpoint, feed = (scratch(spark, n) for n in ("counts-store", "counts-summary", "counts-checkpoint", "counts-feed"))
+    target = fx.sync_target(spark, sf)
+    store.seed_store(target, root)
+    partials.seed_counts(target, root)
+    fx.arriving_files(fx.readings(spark, sf), feed, 5, "id")
+    arriving = spark.readStream.schema(READING).option("maxFilesPerTrigger", 1).parquet(feed)
+    sink_of = partials.refresh_sink(root, fx.ranges(spark, sf), out, lambda: fx.AS_OF, ("2024-01-05", "2024-01-25"), merge_every=2)
+    store.start_store(arriving, sink_of, checkpoint, availableNow=True).awaitTermination()
+    back = views.latest_refresh(spark, out)
+    figures = ("min", "max", "mean", "sd", "median", "avg_sampling_period")
+    return back.select("device_id", "sensor_id", "last_T", "last_point", "N", *[r6(c).alias(c) for c in figures])
+
+
 @query
 def stream_sync_sink(spark, sf):
     root, checkpoint = scratch(spark, "store"), scratch(spark, "store-checkpoint")
