@@ -1,7 +1,6 @@
 """One query per operator: ``(spark, sf_dir) -> DataFrame`` over the given tables."""
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -319,19 +318,10 @@ def decode_tenths(spark, sf):
     return decoded(spark, sf).select("device_id", "id", "CO2_ppm", "sensor_id")
 
 
-def device_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """A table per device, for all that are found; their number is that of the devices."""
-    rows = fx.readings(spark, sf)
-    names = [r["device_id"] for r in source.discover_devices(rows).collect()]
-    path = stored_readings(spark, rows, "per-device")
-    stored = source.scan_readings(spark, path)
-    return {name: stored.filter(F.col("device_id") == name).drop("device_id", "month") for name in names}
-
-
 @query
 def tag_device(spark, sf):
-    tagged = [source.tag_device(table, name) for name, table in device_tables(spark, sf).items()]
-    return reduce(DataFrame.unionByName, tagged).select(*source.COLUMNS)
+    """Files that hold no device, tagged by their folders in one scan."""
+    return source.scan_device_folders(spark, stored_readings(spark, fx.readings(spark, sf), "tagged")).select(*source.COLUMNS)
 
 
 @query
@@ -521,8 +511,8 @@ def series_order(spark, sf):
 
 @query
 def union_devices(spark, sf):
-    """Each part reads its device's folders alone."""
-    return source.union_devices(device_tables(spark, sf)).select(*source.COLUMNS)
+    """One scan of the table that all devices share; a filter on ``device_id`` prunes folders."""
+    return source.scan_readings(spark, stored_readings(spark, fx.readings(spark, sf), "per-device")).select(*source.COLUMNS)
 
 
 @query

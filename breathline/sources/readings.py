@@ -50,7 +50,11 @@ def tag_device(table: DataFrame, device: str) -> DataFrame:
 
 
 def union_devices(tables: dict[str, DataFrame]) -> DataFrame:
-    """Bag union of per-device tables, tagged. A filter on ``device_id`` prunes whole tables."""
+    """Bag union of per-device tables, tagged. A filter on ``device_id`` prunes whole tables.
+
+    For tables that need a reader each (databases); folders of files take one scan with
+    ``scan_device_folders`` or, in a store's layout, ``scan_readings``.
+    """
     parts = [tag_device(table, device) for device, table in sorted(tables.items())]
     result = parts[0]
     for part in parts[1:]:
@@ -58,6 +62,22 @@ def union_devices(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def scan_device_folders(spark: SparkSession, root: str) -> DataFrame:
+    """All rows of a folder that has a folder of files for each device, tagged, in one scan.
+
+    The device is the first folder's name below ``root`` (what follows ``device_id=`` if it
+    begins so), taken from the path of the row's file; files themselves have no device column.
+    A filter on ``device_id`` skips the other devices' files.
+    """
+    bare = T.StructType([f for f in READING.fields if f.name != "device_id"])
+    rows = spark.read.schema(bare).option("recursiveFileLookup", True).parquet(root)
+    # paths are those of URIs, where a plus sign stands for itself
+    depth = F.lit(len([part for part in root.split("://")[-1].split("/")[("://" in root):] if part]))
+    parts = F.filter(F.split(F.regexp_replace("_metadata.file_path", "^[a-z0-9]+:(//[^/]*)?", ""), "/"), lambda p: p != "")
+    name = F.url_decode(F.replace(F.get(parts, depth), F.lit("+"), F.lit("%2B")))
+    return rows.select(F.regexp_replace(name, "^device_id=", "").alias("device_id"), *bare.fieldNames())
+
+
 def scan_jdbc_device(
     spark: SparkSession, url: str, table: str, ids: tuple[int, int], partitions: int,
     newer_than: int | None = None, **options: str,

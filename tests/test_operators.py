@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from breathline.operators import enrich, filters, ingest, publish, reshape, summary, trailing
 from breathline.schema import LUT, RANGES, RAW_LINE, READING
+from breathline.session import scratch
 from breathline.sinks import readings as sink
 from breathline.sources import readings as source
 
@@ -238,3 +239,18 @@ def test_window_holds_both_ends(spark):
 def test_export_name():
     assert sink.export_name("co2", "2024-01-08 00:00:00", "2024-01-09 01:00:00") == (
         "co2_2024-01-08-00-00-00_2024-01-09-01-00-00.csv")
+
+
+def test_folders_of_devices_take_one_scan(spark):
+    root = scratch(spark, "device folders")
+    rows = spark.range(30).select(
+        F.col("id"), F.lit(T0).cast("timestamp_ntz").alias("T"), F.lit(1).alias("SENSOR"), F.col("id").cast("int").alias("PPM_10X"))
+    devices = ["a", "b c", "d+e", "f%g", "device_id=h"]
+    for i, device in enumerate(devices):
+        rows.filter(F.col("id") % 5 == i).write.parquet(f"{root}/{device}/2024")
+    got = source.scan_device_folders(spark, root)
+    expected = source.union_devices({d.removeprefix("device_id="): rows.filter(F.col("id") % 5 == i) for i, d in enumerate(devices)})
+    assert sorted(map(tuple, got.select(source.COLUMNS).collect())) == sorted(map(tuple, expected.select(source.COLUMNS).collect()))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    one = got.filter("device_id = 'b c'")
+    assert one.count() == 6 and source.scan_device_folders(spark, f"file://{root}").count() == 30
