@@ -424,3 +424,4 @@ ORACLE: dict[str, str] = {
 # Other plans of the same operators.
 ORACLE |= {f"{name}_dense": ORACLE[name] for name in ("trailing_stats", "trailing_minmax_scale")}
 ORACLE["stream_refresh_counts"] = ORACLE["stream_refresh_summary"]
+ORACLE["sink_export_one_csv"] = ORACLE["sink_export_csv"]

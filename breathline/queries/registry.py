@@ -12,6 +12,7 @@ from breathline.queries import fixtures as fx
 from breathline.schema import KEY, READING
 from breathline.session import scratch, streaming_session, utc
 from breathline.sinks import lines as line_sink
+from breathline.sinks import onefile
 from breathline.sinks import readings as sink
 from breathline.sinks import send as sender
 from breathline.sources import feed as line_feed
@@ -201,6 +202,15 @@ def sink_export_csv(spark, sf):
     return back.withColumn("file_name", F.lit(path.rsplit("/", 1)[1]))
 
 
+@query
+def sink_export_one_csv(spark, sf):
+    stored = source.scan_readings(spark, stored_readings(spark, fx.readings(spark, sf), "export-store"))
+    rows = enrich.flag_readings(filters.filter_time_between(stored, START, END), fx.ranges(spark, sf))
+    path = onefile.export_one_csv(rows, scratch(spark, "one-export"), "readings", START, END, ["device_id", "id"])
+    back = spark.read.schema(rows.schema).option("header", True).csv(path)
+    return back.withColumn("file_name", F.lit(path.rsplit("/", 1)[1]))
+
+
 @query
 def sink_wide_lines(spark, sf):
     path = scratch(spark, "wide-lines")
