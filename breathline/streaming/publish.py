@@ -37,7 +37,7 @@ def push_times(period_s: int, min_readings: int) -> Callable[[pd.DataFrame], pd.
     period = period_s * 1_000_000
 
     def run(lines: pd.DataFrame) -> pd.DataFrame:
-        lines = lines.sort_values(["us", "line_id"], ignore_index=True)
+        lines = lines.sort_values(["us", "line_id", "row"], ignore_index=True)
         times, sizes = lines["us"].to_numpy(), lines["n_values"].to_numpy()
         part = np.cumsum(np.r_[0, sizes[1:] != sizes[:-1]])
         new = int(lines["is_new"].to_numpy().argmax())  # what waits comes before
@@ -52,10 +52,10 @@ def push_times(period_s: int, min_readings: int) -> Callable[[pd.DataFrame], pd.
                 publishes[held:first] = -1
                 publishes[first:due + 1] = last
                 held = due + 1
-        out = pd.DataFrame({"device_id": lines["device_id"], "line_id": lines["line_id"], "push_us": publishes})
-        own = pd.DataFrame({"device_id": [lines["device_id"].iloc[0]], "line_id": [None], "push_us": [float(last)]})
-        out = pd.concat([out.astype({"line_id": "Int64", "push_us": "Int64"}), own.astype({"line_id": "Int64", "push_us": "Int64"})])
-        return out
+        whole = {"row": "Int64", "push_us": "Int64"}
+        out = pd.DataFrame({"device_id": lines["device_id"], "row": lines["row"], "push_us": publishes})
+        own = pd.DataFrame({"device_id": [lines["device_id"].iloc[0]], "row": [None], "push_us": [float(last)]})
+        return pd.concat([out.astype(whole), own.astype(whole)])
     return run
 
 
@@ -65,16 +65,18 @@ def carry_step(
     """One micro-batch: what is published, the lines still waiting, and each device's last push.
 
     Python sees times and line numbers only, three numbers per line of the batch, which
-    the source's rate limit bounds. Lines meet their push by device and number, and
-    medians are grouped by push and channel, so a hot device is spread over all tasks.
+    the source's rate limit bounds. Lines meet their push by a number that the frozen
+    batch gives each row, as a feed may repeat a line's own number, and medians are grouped
+    by push and channel, so a hot device is spread over all tasks.
     """
-    lines = frozen(waiting.withColumn("is_new", F.lit(False)).unionByName(arrived.withColumn("is_new", F.lit(True))))
+    both = waiting.withColumn("is_new", F.lit(False)).unionByName(arrived.withColumn("is_new", F.lit(True)))
+    lines = frozen(both.withColumn("row", F.monotonically_increasing_id()))
     busy = lines.filter("is_new").select("device_id").distinct()
     timed = lines.join(busy, "device_id", "left_semi").join(pushes, "device_id", "left").select(
-        "device_id", "line_id", "us", F.size("values").alias("n_values"), "is_new", "last_push")
+        "device_id", "line_id", "row", "us", F.size("values").alias("n_values"), "is_new", "last_push")
     given = frozen(timed.groupBy("device_id").applyInPandas(
-        push_times(period_s, min_readings), "device_id string, line_id bigint, push_us bigint"))
-    joined = lines.join(given.filter(F.col("line_id").isNotNull()), ["device_id", "line_id"], "left")
+        push_times(period_s, min_readings), "device_id string, row bigint, push_us bigint"))
+    joined = lines.join(given.filter(F.col("row").isNotNull()), ["device_id", "row"], "left")
     published = (
         joined.filter(F.col("push_us") >= 0)
         .select("device_id", "push_us", F.posexplode_outer("values").alias("channel", "v"))
@@ -82,7 +84,7 @@ def carry_step(
         .select("device_id", T.stamp_seconds(T.from_micros(F.col("push_us"))).alias("T"), "channel", "tenths", "n")
     )
     left = joined.filter(F.col("push_us").isNull()).select("device_id", "line_id", "us", "values")
-    now = given.filter(F.col("line_id").isNull()).select("device_id", F.col("push_us").alias("last_push"))
+    now = given.filter(F.col("row").isNull()).select("device_id", F.col("push_us").alias("last_push"))
     return published, left, now.unionByName(pushes.join(now, "device_id", "left_anti"))
 
 

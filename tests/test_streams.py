@@ -216,3 +216,11 @@ def test_live_flags_keep_unmatched_readings(spark):
     drain(enrich.flag_readings(spark.readStream.schema(READING).parquet(feed), limits), out)
     got = {r.id: (r.set, r.in_range) for r in spark.read.parquet(f"{out}/rows").collect()}
     assert got == {1: (700.0, False), 2: (None, True)}
+
+
+def test_carry_counts_lines_that_share_a_number_once(spark):
+    """Two files of one time may repeat line numbers; each line still counts as itself."""
+    rows = [("a", number, T0 + dt.timedelta(seconds=5 * i), [float(i)]) for i, number in enumerate([7, 7, 8])]
+    feed, out = scratch(spark, "lines"), scratch(spark, "pushes")
+    spark.createDataFrame(rows, LINES).write.parquet(feed)
+    assert [(r.tenths, r.n) for r in push(spark.readStream.schema(LINES).parquet(feed), out).collect()] == [(10.0, 3)]
