@@ -348,6 +348,10 @@ ORACLE: dict[str, str] = {
     "summary_min_max": _summary('"min"', '"max"'),
     "summary_mean_sd": _summary("mean", "sd"),
     "summary_median": _summary("median"),
+    "median_by_selection": f"""WITH {ARRIVALS}
+        SELECT device_id, sensor_id, round(median(v), 6) AS median, count(*) AS n FROM arrivals GROUP BY ALL""",
+    "median_by_sketch": f"""WITH {ARRIVALS}
+        SELECT device_id, sensor_id, count(*) AS n, TRUE AS within FROM arrivals GROUP BY ALL""",
     "summary_count": _summary('"N"'),
     "summary_last_point": _summary('"last_T"', "last_point"),
     "summary_sampling_period": _summary("avg_sampling_period"),
@@ -398,6 +402,21 @@ ORACLE: dict[str, str] = {
     "stream_publish_tumbling": f"""WITH {LONG}, pub AS ({_windows('long', 86400, 'arrival_ts', MEDIAN)})
         SELECT * EXCLUDE (tenths), round(tenths, 6) AS tenths FROM pub
         WHERE "T" <= (SELECT max(arrival_ts) FROM long) - INTERVAL 1 HOUR""",
+    "stream_publish_accounted": f"""WITH {LONG},
+        fed AS (
+            SELECT *, least(2, (day(arrival_ts) - 1) // 10) + CASE WHEN line_id % 7 = 0 THEN 1 ELSE 0 END AS part,
+                   (epoch_us(arrival_ts) // 86400000000 + 1) * 86400000000 AS end_us
+            FROM long),
+        parts AS (SELECT p.part, (SELECT max(epoch_ms(arrival_ts)) FROM fed WHERE fed.part < p.part) - 3600000 AS mark FROM range(5) AS p(part)),
+        timed AS (SELECT fed.*, coalesce(end_us // 1000 <= mark, FALSE) AS late FROM fed JOIN parts USING (part))
+        SELECT device_id, channel, sensor_id, make_timestamp(end_us) AS "T",
+               CASE WHEN count(*) >= 3 THEN 'published' ELSE 'short' END AS status, count(*) AS n,
+               CASE WHEN count(*) >= 3 THEN round(median(v * 10), 6) END AS tenths,
+               NULL::BIGINT AS line_id, NULL::TIMESTAMP AS arrival_ts, NULL::DOUBLE AS v
+        FROM timed WHERE NOT late AND end_us // 1000 <= (SELECT mark FROM parts WHERE part = 4)
+        GROUP BY device_id, channel, sensor_id, end_us
+        UNION ALL
+        SELECT device_id, channel, sensor_id, make_timestamp(end_us), 'late', 1, NULL, line_id, arrival_ts, v FROM timed WHERE late""",
     "stream_publish_carry": f"""WITH RECURSIVE {PUSHES}
         SELECT device_id, date_trunc('second', make_timestamp(push_us)) AS "T", channel,
                round(median(v * 10), 6) AS tenths, count(*) AS n

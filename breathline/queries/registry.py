@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from breathline.functions import lines as L
 from breathline.functions import numbers as N
 from breathline.functions import times as T
-from breathline.operators import enrich, filters, ingest, publish, reshape, summary, sync, trailing
+from breathline.operators import enrich, filters, ingest, publish, reshape, sketches, summary, sync, trailing
+from breathline.plans import selection
 from breathline.queries import fixtures as fx
 from breathline.schema import KEY, READING
 from breathline.session import scratch, streaming_session, utc
@@ -18,6 +19,7 @@ from breathline.sinks import send as sender
 from breathline.sources import feed as line_feed
 from breathline.sources import lines as line_source
 from breathline.sources import readings as source
+from breathline.streaming import late as late_rows
 from breathline.streaming import live as live_view
 from breathline.streaming import partials
 from breathline.streaming import publish as live_publish
@@ -443,6 +445,23 @@ def summary_median(spark, sf):
     return summarised(spark, sf).select("device_id", "sensor_id", "median")
 
 
+@query
+def median_by_selection(spark, sf):
+    """Exact medians of groups of any number of different values; few settle, so that rounds run."""
+    rows = selection.exact_quantile(fx.arrivals(spark, sf), KEY, "v", settle=64, name="median")
+    return rows.withColumn("median", r6("median"))
+
+
+@query
+def median_by_sketch(spark, sf):
+    """Medians from stored hourly sketches, and whether their exact rank is within the stated error."""
+    path, rows = scratch(spark, "sketches"), fx.arrivals(spark, sf)
+    sketches.write_sketches(sketches.hourly_sketches(rows, time="ts"), path)
+    medians = sketches.sketched_quantiles(spark.read.parquet(path), {"median": 0.5})
+    errors = sketches.rank_errors(rows, medians, "median", 0.5)
+    return errors.select(*KEY, "n", (F.col("rank_error") <= sketches.RANK_ERROR).alias("within"))
+
+
 @query
 def summary_count(spark, sf):
     return summarised(spark, sf).select("device_id", "sensor_id", "N")
@@ -575,9 +594,9 @@ def mirror_two_way(spark, sf):
 # Streams ---------------------------------------------------------------------------
 
 
-def run_to_parquet(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    """Drain the stream into a table and read that."""
-    out = scratch(spark, name)
+def run_to_parquet(spark: SparkSession, stream: DataFrame, name: str, out: str | None = None) -> DataFrame:
+    """Drain the stream into a table, a new one or that of an earlier run, and read that."""
+    out = out or scratch(spark, name)
     (
         stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint")
         .trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
@@ -605,6 +624,21 @@ def stream_publish_tumbling(spark, sf):
     return rows.withColumn("tenths", r6("tenths"))
 
 
+@query
+def stream_publish_accounted(spark, sf):
+    """Windows of a feed in which every seventh line comes ten days late; a run of the stream per part."""
+    live = live_view.with_state_store(streaming_session(spark))
+    feed, out = scratch(spark, "late-feed"), scratch(spark, "accounted")
+    part = F.least(F.lit(2), F.floor((F.dayofmonth("arrival_ts") - 1) / 10)) + (F.col("line_id") % 7 == 0).cast("int")
+    raw, rows = fx.raw_lines(spark, sf).withColumn("part", part), None
+    for number in range(4):
+        raw.filter(F.col("part") == number).drop("part").write.mode("append").parquet(feed)
+        lines = ingest.accepted(ingest.classify_lines(line_source.scan_raw_lines(live, feed, streaming=True), fx.lut(live, sf)))
+        stream = late_rows.stream_publish_accounted(ingest.wide_to_long(lines, fx.lut(live, sf)), "1 hour", DAY)
+        rows = run_to_parquet(spark, stream, "accounted", out)
+    return rows.withColumn("tenths", r6("tenths"))
+
+
 @query
 def stream_publish_carry(spark, sf):
     """The feed comes in files in arrival order, one to a micro-batch (the rate limit)."""

@@ -1,0 +1,77 @@
+"""Medians by rounds of counting, and from sketches, against plain ones."""
+
+import math
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from breathline.operators import sketches
+from breathline.plans import selection
+
+
+def quantiles(df, settle, share=0.5):
+    rows = selection.exact_quantile(df, ["g"], "v", share, settle).collect()
+    return {r["g"]: (r["quantile"], r["n"]) for r in rows}
+
+
+@pytest.mark.parametrize("settle", [2, 5, 65_536])
+def test_medians_of_every_shape(spark, settle):
+    rng = random.Random(settle)
+    groups = {
+        "wide": [rng.uniform(-1e300, 1e300) for _ in range(3000)],
+        "tiny": [rng.uniform(0, 1) * 10.0 ** rng.randint(-300, 0) for _ in range(2001)],
+        "tied": [1.0] * 500 + [2.0] * 500,
+        "hot": [7.25] * 2000 + [rng.uniform(0, 1000) for _ in range(999)],
+        "signs": [-0.0, 0.0, -0.0, 5e-324],
+        "ends": [-math.inf, math.inf, 1.0],
+        "one": [3.5], None: [1.0, 2.0, 4.0, 8.0],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("gap", 1.0), ("gap", None), ("nan", 1.0), ("nan", math.nan), ("none", None)]
+    got = quantiles(spark.createDataFrame(rows, "g string, v double").repartition(7), settle)
+    for g, vs in groups.items():
+        assert got[g] == (pytest.approx(statistics.median(vs), rel=1e-15), len(vs)), g
+    assert got["gap"] == (None, 2) and got["nan"] == (None, 2) and got["none"] == (None, 1)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.01, 0.25, 0.999, 1.0])
+def test_other_shares_equal_percentile(spark, share):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("g"), (F.rand(5) * F.pow(F.lit(10.0), F.col("id") % 9)).alias("v"))
+    df = spark.createDataFrame(df.collect(), df.schema)
+    plain = {r["g"]: r["q"] for r in df.groupBy("g").agg(F.percentile("v", F.lit(share)).alias("q")).collect()}
+    got = quantiles(df, 50, share)
+    assert {g: q for g, (q, _) in got.items()} == pytest.approx(plain, rel=1e-12)
+
+
+def test_empty_tables_and_clashing_names(spark):
+    empty = spark.createDataFrame([], "g string, v double")
+    assert quantiles(empty, 2) == {}
+    clash = spark.createDataFrame([("x", i, float(i)) for i in range(9)], "w string, splits int, stretch double")
+    assert selection.exact_quantile(clash, ["w"], "stretch", settle=2).collect()[0]["quantile"] == 4.0
+    with pytest.raises(ValueError):
+        selection.exact_quantile(empty, ["g"], "v", settle=1)
+
+
+def test_sketches_of_hours_merge_within_their_error(spark):
+    rows = spark.range(200_000).select(
+        F.lit("d").alias("device_id"), (F.col("id") % 2).cast("int").alias("sensor_id"),
+        F.timestamp_seconds(1_704_067_200 + F.col("id") * 7).cast("timestamp_ntz").alias("T"),
+        (F.xxhash64("id") / 1e12).alias("v"))
+    hourly = sketches.hourly_sketches(rows)
+    shares = {"low": 0.01, "median": 0.5, "high": 0.99}
+    found = sketches.sketched_quantiles(hourly, shares)
+    for name, share in shares.items():
+        errors = sketches.rank_errors(rows, found, name, share).collect()
+        assert len(errors) == 2 and all(r["n"] == 100_000 and r["rank_error"] <= sketches.RANK_ERROR for r in errors)
+
+
+def test_missing_values_and_times_in_sketches(spark):
+    rows = spark.sql("""
+        SELECT * FROM VALUES ('a', 1, TIMESTAMP_NTZ '2024-01-01 00:10:00', 1.0D), ('a', 1, TIMESTAMP_NTZ '2024-01-01 01:10:00', 3.0D),
+            ('a', 1, NULL, 9.0D), ('a', 2, TIMESTAMP_NTZ '2024-01-01 00:10:00', NULL), ('a', 2, TIMESTAMP_NTZ '2024-01-01 01:00:00', 5.0D),
+            ('a', 3, TIMESTAMP_NTZ '2024-01-01 00:10:00', double('NaN')) AS t(device_id, sensor_id, T, v)""")
+    got = sketches.sketched_quantiles(sketches.hourly_sketches(rows), {"median": 0.5}).collect()
+    assert {r["sensor_id"]: (r["n"], r["median"]) for r in got} == {1: (2, 1.0), 2: (2, None), 3: (1, None)}
+    assert sketches.sketched_quantiles(sketches.hourly_sketches(rows.limit(0)), {"median": 0.5}).collect() == []
