@@ -1,8 +1,10 @@
 """Hashes of words and of runs of words, over many texts at once.
 
-Texts are joined in one byte array. The hash of a stretch is a sum of coded bytes times
-powers of an odd base modulo 2**64, taken from running sums, so every word, n-gram and span
-costs the same few array operations, whatever its length.
+Texts are joined in one byte array. A word's hash is the sum of a mixed code for each of its
+bytes at its place in the word, so no pattern of bytes cancels out, as it may in a polynomial
+modulo 2**64. The hash of a stretch of words is a sum of their hashes times powers of an odd
+base. Both come from running sums, so every word, n-gram and span costs the same few array
+operations, whatever its length.
 """
 
 from __future__ import annotations
@@ -65,7 +67,12 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not blank[0]:
         edge = np.r_[0, edge]
     starts, ends = edge[0::2], edge[1::2]
-    hashes = Spans(_CODES[data]).of(starts, ends)
+    place = np.zeros(len(data) + 1, dtype=np.int64)
+    place[starts] = np.diff(starts, prepend=0)
+    place = np.arange(len(data)) - np.cumsum(place[:-1])
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(mixed(_CODES[data] + place.astype(np.uint64) * np.uint64(_BASE)), out=sums[1:])
+    hashes = mixed(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     return hashes, np.searchsorted(np.cumsum(lengths), starts, side="right")
 

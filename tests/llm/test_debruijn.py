@@ -86,3 +86,16 @@ def test_least_of_every_width():
     values = np.random.default_rng(3).integers(0, 1000, 50).astype(np.uint64)
     for width in range(1, 14):
         assert debruijn.least_of(values, width).tolist() == [min(values[i:i + width]) for i in range(50 - width + 1)]
+
+
+@pytest.mark.parametrize("chars", ["ab", "01"])
+def test_words_that_cancel_out_in_a_polynomial(spark, chars):
+    """A Thue-Morse string and its complement have one hash in every polynomial modulo 2**64."""
+    morse = "".join(chars[bin(i).count("1") % 2] for i in range(4096))
+    other = "".join(chars[1 - bin(i).count("1") % 2] for i in range(4096))
+    around = ["w%d" % i for i in range(12)]
+    rows = [(1, " ".join([*around[:6], morse, *around[6:]])), (2, " ".join([*around[:6], other, *around[6:]]))]
+    hashes, _ = wordhash.word_hashes([morse.encode(), other.encode(), morse.encode()])
+    assert hashes[0] != hashes[1] and hashes[0] == hashes[2]
+    got = debruijn.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(plain(rows)) and all(r["n_removed"] == 0 for r in got)
