@@ -1,7 +1,8 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Each benchmark item is searched as probes: its windows of ``PROBE_CHARS`` normalised
-characters every ``PROBE_STEP``, or the whole item if shorter. A probe of m characters is
+characters every ``PROBE_STEP``, or the whole item if shorter, so every passage of an item of 79 characters or
+more holds a whole probe. A probe of m characters is
 found in a document if a stretch of it is within k = ``EDIT_RATE`` * m edits. Such a
 stretch shares at least m - q + 1 - k*q of the probe's q-grams, on diagonals (place in the
 document less place in the probe) at most k apart. So shared q-grams are counted in bands
@@ -34,8 +35,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from breathline.llm.wordhash import Spans, chunks
 
-Q = 10
-PROBE_CHARS, PROBE_STEP = 128, 32
+Q = 8
+PROBE_CHARS, PROBE_STEP = 64, 16
 EDIT_RATE = 0.08
 MIN_CHARS = 32
 BLOCK_CHARS = 4_000_000

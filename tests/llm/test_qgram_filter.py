@@ -131,3 +131,25 @@ def test_query_against_full_alignment(spark):
     for (i, j), edits in got.items():
         assert min(fewest_edits(p, bodies[i]) for p in probes_of(dict(items)[j], s)) == edits
     assert got
+
+
+def test_quotes_cut_anywhere_from_items(spark):
+    """Quotes of at least a probe and a step are found, with an edit too; what shares only half of that is left."""
+    sf, rng = "/root/testdata/sf0.01", random.Random(7)
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    long = [(i, t) for i, t in items if len(plain(t or "")) > 150]
+    docs, wanted = [], {}
+    for n, (i, t) in enumerate(long):
+        for chars, edits in ((qf.PROBE_CHARS + qf.PROBE_STEP, 0), (100, 0), (100, 2)):
+            body = plain(t)
+            at = rng.randrange(len(body) - chars + 1)
+            quote = edited(rng, body[at:at + chars], edits)
+            docs.append((len(docs), "clean words come first " * 5 + "and " + quote + " then clean words follow"))
+            wanted[len(docs) - 1] = (i, chars, edits)
+        body = plain(t)
+        docs.append((10_000 + n, "clean words come first " + body[:30] + " then clean words follow"))
+    got = {(r["doc_id"], r["item_id"]) for r in qf.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    missed = [w for d, w in wanted.items() if (d, w[0]) not in got]
+    assert not [w for w in missed if w[2] == 0] and len(missed) <= 0.1 * len(long)
+    assert not [d for d, _ in got if d >= 10_000]
