@@ -18,30 +18,45 @@ WARMUP = 5
 BUCKET_WINDOWS = 64
 
 
-def _frames(df: DataFrame, keys: list[str], window_s: int, time: str):
-    """Rows cut into time buckets, and the trailing frame ``[t - window, t]`` within them.
+def _halves(df: DataFrame, keys: list[str], window_s: int, time: str):
+    """Rows with times, and what builds an aggregate of each half of the trailing frame ``[t - window, t]``.
 
-    Times must be unique per key, as arrival times in microseconds are.
+    Time is cut into buckets of one window, and a bucket holds copies (``_halo``) of the rows
+    of the one before. A frame is then the last rows of the halo and the first ones of the
+    bucket; both halves come from running aggregates, so a row costs the same however many
+    rows its frame has. Rows without a time are in no frame and give no rows.
     """
     us = window_s * 1_000_000
-    timed = df.withColumn("_us", T.micros(F.col(time)))
-    bucketed = with_time_buckets(timed, "_us", us, BUCKET_WINDOWS * us)
-    frame = Window.partitionBy(*keys, "_bucket").orderBy("_us").rangeBetween(-us, 0)
-    return bucketed, frame
+    timed = df.withColumn("_us", T.micros(F.col(time))).filter(F.col("_us").isNotNull())
+    own = F.expr(f"(_us - pmod(_us, {us}L)) div {us}L")
+    rows = timed.withColumn("_bucket", F.explode(F.array(own, own + 1))).withColumn("_halo", F.col("_bucket") != own)
+    within = Window.partitionBy(*keys, "_bucket")
+    starts = F.when(F.col("_halo"), F.col("_us")).otherwise(F.col("_us") - F.lit(us))
+    back = within.orderBy(starts.desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    forth = within.orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def halves(of, v: Column) -> tuple[Column, Column]:
+        return of(F.when(F.col("_halo"), v)).over(back), of(F.when(~F.col("_halo"), v)).over(forth)
+
+    return rows, halves
 
 
 def trailing_stats(
     arrivals: DataFrame, window_s: int = WINDOW_S, time: str = "ts", value: str = "v"
 ) -> DataFrame:
     """Newest value, mean and population sd over the trailing window, rounded to three digits."""
-    rows, frame = _frames(arrivals, KEY, window_s, time)
-    v = F.col(value)
-    return rows.withColumns({
-        "mean": round_stat(F.avg(v).over(frame)),
-        "sd": round_stat(F.stddev_pop(v).over(frame)),
-        "n": F.count(v).over(frame),
-    }).filter(~F.col("_halo")).select(
-        *KEY, "id", time, v.alias("latest"), "mean", "sd", "n"
+    rows, halves = _halves(arrivals, KEY, window_s, time)
+    v, parts = F.col(value), {}
+    for name, of in (("n", F.count), ("sum", F.sum), ("mean", F.avg), ("var", F.var_pop)):
+        parts[f"_{name}0"], parts[f"_{name}1"] = halves(of, v)
+    n0, n1, n = F.col("_n0"), F.col("_n1"), F.col("_n0") + F.col("_n1")
+    some = lambda c: F.coalesce(c, F.lit(0))
+    apart = F.col("_mean0") - F.col("_mean1")
+    squares = some(n0 * F.col("_var0")) + some(n1 * F.col("_var1")) + some(apart * apart * n0 * n1 / F.when(n > 0, n))
+    total = some(F.col("_sum0")) + some(F.col("_sum1"))
+    return rows.withColumns(parts).filter(~F.col("_halo")).select(
+        *KEY, "id", time, v.alias("latest"), round_stat(total / F.when(n > 0, n)).alias("mean"),
+        round_stat(F.sqrt(squares / F.when(n > 0, n))).alias("sd"), n.alias("n")
     )
 
 
@@ -125,22 +140,26 @@ def trailing_minmax_scale(
     """Newest value of each channel scaled to its trailing window, highest = 0, lowest = 1.
 
     A line gives no rows when any of its channels is constant over the window. The
-    channels of a line stay together, so one frame serves all of them. ``channels`` is
+    channels of a line stay together, so one frame serves all of them, and the work hangs on
+    the lines, not on how many a window has. ``channels`` is
     the most that a device has (``ingest.most_channels``); a longer line fails the job.
     """
     complaint = F.concat(F.lit(f"more than {channels} values in line "), F.col("line_id").cast("string"))
     lines = lines.withColumn("values", F.when(
         F.size("values") > channels, F.raise_error(complaint).cast("array<double>")).otherwise(F.col("values")))
-    rows, frame = _frames(lines, ["device_id"], window_s, time)
+    rows, halves = _halves(lines, ["device_id"], window_s, time)
+    limits = {}
+    for c in range(channels):
+        v = F.get("values", F.lit(c))
+        limits[f"_low{c}"] = F.least(*halves(F.min, v))
+        limits[f"_high{c}"] = F.greatest(*halves(F.max, v))
+    rows = rows.withColumns(limits)
     scaled: list[Column] = []
     spans = []
     for c in range(channels):
-        v = F.get("values", F.lit(c))
-        low, high = F.min(v).over(frame), F.max(v).over(frame)
-        rows = rows.withColumn(f"_low{c}", low).withColumn(f"_span{c}", high - low)
-        span = F.col(f"_span{c}")
+        low, span = F.col(f"_low{c}"), F.col(f"_high{c}") - F.col(f"_low{c}")
         spans.append(span)
-        scaled.append(F.lit(1.0) - (v - F.col(f"_low{c}")) / F.when(span != 0, span))
+        scaled.append(F.lit(1.0) - (F.get("values", F.lit(c)) - low) / F.when(span != 0, span))
     constant = F.exists(F.array(*spans), lambda s: s == 0)
     return (
         rows.filter(~F.col("_halo") & ~F.coalesce(constant, F.lit(False)))
@@ -221,8 +240,8 @@ def elapsed_seconds(
 ) -> DataFrame:
     """Seconds since the device's first row, and since the first row of the trailing window."""
     starts = arrivals.groupBy("device_id").agg(F.min(time).alias("_start"))
-    rows, frame = _frames(arrivals, ["device_id"], window_s, time)
-    timed = rows.withColumn("_first_us", F.min("_us").over(frame)).filter(~F.col("_halo"))
+    rows, halves = _halves(arrivals, ["device_id"], window_s, time)
+    timed = rows.withColumn("_first_us", F.least(*halves(F.min, F.col("_us")))).filter(~F.col("_halo"))
     return timed.join(broadcast_if_small(frozen(starts)), "device_id").select(
         "device_id", "id",
         T.seconds_between(F.col(time), F.col("_start")).alias("since_start"),
