@@ -55,3 +55,40 @@ def extreme(values: np.ndarray, first: np.ndarray, end: np.ndarray, of: np.ufunc
         step = 1 << k
         reach = np.concatenate([reach[:step], of(reach[step:], reach[:-step])])
     return out
+
+
+def _running(values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(mean, sum of squares around it, minimum, maximum) of the rows up to each, by column."""
+    first = np.where(np.isfinite(values[0]), values[0], 0.0)
+    off, n = (values - first).astype(np.longdouble), np.arange(1, len(values) + 1)[:, None]
+    sums = np.cumsum(off, axis=0)
+    return sums / n + first, np.cumsum(off * off, axis=0) - sums * sums / n, np.minimum.accumulate(values), np.maximum.accumulate(values)
+
+
+def figures(values: np.ndarray, times: np.ndarray, width: int, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(rows, mean, population sd, minimum, maximum) by column of the frames ``[t - width, t]`` that end in the rows ``at``.
+
+    Rows are in order of time; later peers are not in a frame. Time is cut into blocks of
+    ``width``, so a frame is the end of one block and the start of the next, and its figures
+    come from running ones of its own rows alone: nothing outside of a frame touches them.
+    """
+    blocks = times // max(1, width)
+    starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
+    shape = values.shape
+    forth, back = ([np.zeros(shape, t) for t in (np.longdouble, np.longdouble, np.float64, np.float64)] for _ in range(2))
+    with np.errstate(invalid="ignore", over="ignore"):
+        for a, b in zip(starts, [*starts[1:], len(values)], strict=True):
+            for whole, part in zip(forth, _running(values[a:b]), strict=True):
+                whole[a:b] = part
+            for whole, part in zip(back, _running(values[a:b][::-1]), strict=True):
+                whole[a:b] = part[::-1]
+        begin = starts[np.searchsorted(starts, at, "right") - 1]
+        first = np.minimum(np.searchsorted(times, times[at] - width, "left"), begin)
+        two, n0, n1 = (first < begin)[:, None], (begin - first)[:, None], (at - begin + 1)[:, None]
+        n = n0 + n1
+        (m0, q0, low0, high0), (m1, q1, low1, high1) = ([x[i] for x in side] for side, i in ((back, first), (forth, at)))
+        mean = np.where(two, (n0 * m0 + n1 * m1) / n, m1)
+        squares = np.where(two, q0 + q1 + (m0 - m1) ** 2 * n0 * n1 / n, q1)
+        sd = np.sqrt(np.maximum(squares, 0) / n)
+    low, high = np.where(two, np.minimum(low0, low1), low1), np.where(two, np.maximum(high0, high1), high1)
+    return n[:, 0], mean.astype(np.float64), sd.astype(np.float64), low, high

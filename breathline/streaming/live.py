@@ -4,7 +4,8 @@ A device's state is what its buffer is: the lines of the trailing window with th
 and the number of lines held. A line joins the buffer; below ``warmup`` lines nothing is
 drawn; else lines older than the window, by event time, are dropped and the frame is drawn.
 Rows are those of ``trailing_stats`` and ``trailing_minmax_scale`` at the lines for which
-``trailing_warmup_gate`` says so.
+``trailing_warmup_gate`` says so. A micro-batch's frames are worked out together, in time
+that hangs on its lines and those of one window, not on the lines of each frame.
 
 The state is kept by Spark, in RocksDB, and is bounded by the lines of a window. A device's
 lines of a micro-batch pass through one task, as the view hangs on their order; the source's
@@ -26,6 +27,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from breathline.functions.numbers import round_stat
 from breathline.functions.times import from_micros, micros
 from breathline.operators.trailing import WARMUP, WINDOW_S
+from breathline.plans import frames
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FRAMES = "device_id string, line_id long, us long, channel int, latest double, mean double, sd double, n long, scaled double, late boolean"
@@ -46,9 +48,13 @@ class Buffer:
         self.values = [v for _, v in lines]
         self.start = 0
 
-    def add(self, us: int, values: list[float]) -> np.ndarray | None:
-        """The frame to draw, newest line last; None while the buffer fills up."""
-        if self.values and len(self.values[-1]) != len(values):
+    def begins_anew(self, values: list[float]) -> bool:
+        """Whether a line with these values has another number of channels."""
+        return bool(self.values) and len(self.values[-1]) != len(values)
+
+    def push(self, us: int, values: list[float]) -> bool:
+        """Take up a line; whether its frame, from ``start`` on, is drawn or the buffer still fills up."""
+        if self.begins_anew(values):
             self.times, self.values, self.start, self.held = [], [], 0, 0
         self.times.append(us)
         self.values.append(values)
@@ -56,21 +62,41 @@ class Buffer:
         while self.times[self.start] < us - self.window_us:
             self.start += 1
         if self.held < self.warmup:
-            return None
+            return False
         self.held = len(self.times) - self.start
-        return np.array(self.values[self.start:], dtype=np.float64)
+        return True
+
+    def add(self, us: int, values: list[float]) -> np.ndarray | None:
+        """The frame to draw, newest line last; None while the buffer fills up."""
+        return np.array(self.values[self.start:], dtype=np.float64) if self.push(us, values) else None
+
+    def drawn(self, at: list[int]) -> tuple[np.ndarray, ...]:
+        """(latest, mean, sd, rows, scaled) of the frames that end in these lines, a column per channel."""
+        values = np.array(self.values, dtype=np.float64)
+        rows, mean, sd, low, high = frames.figures(values, np.array(self.times), self.window_us, np.array(at))
+        return values[at], mean, sd, rows, scaled_to(values[at], low, high)
 
     def lines(self) -> list[tuple[int, list[float]]]:
         return list(zip(self.times[self.start:], self.values[self.start:], strict=True))
 
 
-def frame_rows(frame: np.ndarray) -> list[tuple]:
-    """(channel, latest, mean, sd, n, scaled) of a frame; nothing is scaled while a channel is constant."""
-    low, high = frame.min(axis=0), frame.max(axis=0)
-    span, latest = high - low, frame[-1]
-    scaled = [None] * len(span) if (span == 0).any() else (1.0 - (latest - low) / span).tolist()
-    mean, sd = frame.mean(axis=0), frame.std(axis=0)
-    return [(c, float(latest[c]), float(mean[c]), float(sd[c]), len(frame), scaled[c]) for c in range(len(span))]
+def scaled_to(latest: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """``latest`` (a row per line, a column per channel), highest = 0; no line is scaled while a channel is constant."""
+    span = high - low
+    with np.errstate(invalid="ignore", divide="ignore"):
+        scaled = 1.0 - (latest - low) / span
+    return np.where((span == 0).any(axis=1, keepdims=True), np.nan, scaled)
+
+
+def frame_rows(device: str, buffer: Buffer, drawn: list[tuple[int, int]]) -> pd.DataFrame:
+    """Rows of the drawn lines, given as (place in the buffer, line id)."""
+    at, line_ids = [place for place, _ in drawn], [line_id for _, line_id in drawn]
+    latest, mean, sd, n, scaled = buffer.drawn(at)
+    channels = latest.shape[1]
+    return pd.DataFrame({
+        "device_id": device, "line_id": np.repeat(line_ids, channels), "us": np.repeat([buffer.times[i] for i in at], channels),
+        "channel": np.tile(np.arange(channels), len(at)), "latest": latest.ravel(), "mean": mean.ravel(), "sd": sd.ravel(),
+        "n": np.repeat(n, channels), "scaled": scaled.ravel(), "late": False})
 
 
 class LiveView(StatefulProcessor):
@@ -87,16 +113,20 @@ class LiveView(StatefulProcessor):
             held, *last = self.mark.get()
             newest = tuple(last)
         kept = [(us, list(vs)) for us, vs in self.lines.get()] if self.lines.exists() else []
-        buffer, out, last_seen = Buffer(self.window_us, self.warmup, kept, held), [], newest
+        buffer, last_seen, drawn, late, out = Buffer(self.window_us, self.warmup, kept, held), newest, [], [], []
         arrived = pd.concat(list(rows)).sort_values(["us", "line_id"], kind="stable")
         for us, line_id, values in zip(arrived["us"].tolist(), arrived["line_id"].tolist(), arrived["vs"], strict=True):
             if newest is not None and (us, line_id) <= newest:
-                out.append((key[0], line_id, us, None, None, None, None, None, None, True))
+                late.append((key[0], line_id, us, None, None, None, None, None, None, True))
                 continue
-            last_seen = (us, line_id)
-            frame = buffer.add(us, [float(v) for v in values])
-            if frame is not None and frame.shape[1]:
-                out += [(key[0], line_id, us, *row, False) for row in frame_rows(frame)]
+            last_seen, values = (us, line_id), [float(v) for v in values]
+            if drawn and buffer.begins_anew(values):
+                out.append(frame_rows(key[0], buffer, drawn))
+                drawn = []
+            if buffer.push(us, values) and values:
+                drawn.append((len(buffer.times) - 1, line_id))
+        if drawn:
+            out.append(frame_rows(key[0], buffer, drawn))
         if last_seen is not None:
             self.mark.update((buffer.held, *last_seen))
             if buffer.lines():
@@ -104,7 +134,10 @@ class LiveView(StatefulProcessor):
             else:
                 self.lines.clear()
         names = [f.split()[0] for f in FRAMES.split(", ")]
-        yield pd.DataFrame(out, columns=names).astype({"channel": "Int32", "n": "Int64", "late": "bool"})
+        types = {"channel": "Int32", "n": "Int64", "late": "bool"}
+        for part in (*out, pd.DataFrame(late, columns=names)):
+            if len(part):
+                yield part.astype(types)
 
     def close(self) -> None:
         pass
@@ -119,8 +152,8 @@ def stream_trailing_rows(
     are rounded to three digits. A null value makes its channel's figures NaN.
     """
     rows = lines.select("device_id", "line_id", micros(F.col(time)).alias("us"), F.col(values).alias("vs"))
-    frames = rows.groupBy("device_id").transformWithStateInPandas(
+    drawn = rows.groupBy("device_id").transformWithStateInPandas(
         LiveView(window_s * 1_000_000, warmup), FRAMES, "Append", "None")
-    return frames.select(
+    return drawn.select(
         "device_id", "line_id", from_micros(F.col("us")).alias("arrival_ts"), "channel", "latest",
         round_stat(F.col("mean")).alias("mean"), round_stat(F.col("sd")).alias("sd"), "n", "scaled", "late")
