@@ -20,8 +20,10 @@ A list is walked twice. First its members meet the one that shares most of its e
 others, likely the original, which settles groups of near copies in a linear number of pairs.
 Then only members outside of a list's main component meet the rest of it. A pair must share
 as many lists as the bound for its sizes asks for, and what passes is verified on all elements
-of both texts, in cells of bounded size. Only sets that share rare elements and stay unlinked
-cost pairs.
+of both texts, in cells of bounded size. Members that meet must also be alike in ``BITS``
+bits, the parities of their elements dealt to as many places: two sets differ in no more of
+these than in elements, so this drops no link, and members of a list that share a passage and
+little else make no row. Only sets near the bound that stay unlinked cost pairs.
 
 Defined results
 - No words (null, empty or white space): size 0, linked with nothing, its own component.
@@ -53,6 +55,8 @@ PERCENT = 85
 WHOLE = 40
 #: Sets of a list that are compared at a time with as many others.
 TILE = 64
+#: Parities kept of a set; sets that differ in more elements than half of these are told apart by the lists alone.
+BITS = 512
 #: An element more is looked at, and asked for, for so many that two sets need in common.
 MORE = 50
 #: What a list entry costs in rows moved, beside one row for a subset.
@@ -111,14 +115,26 @@ def _sets(shingle: int, percent: int):
     return run
 
 
+def parities(elements: np.ndarray) -> np.ndarray:
+    """Whether the number of a set's elements at each of ``BITS`` places is odd, in words of 64 bits."""
+    odd = np.bincount(elements & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _alike(na: Column, nb: Column, percent: int) -> Column:
+    """Whether sets with parities bits_a and bits_b may differ in as few elements as linked sets of their sizes do."""
+    apart = sum((F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+    return apart <= na + nb - 2 * _needed(na, nb, percent)
+
+
 def _whole_sets(shingle: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in chunks(batch):
                 sets = [elements(t, shingle) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), _ints(sets)],
-                    names=["key", "set"])
+                    [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), _ints(sets), _ints([parities(s) for s in sets])],
+                    names=["key", "set", "bits"])
     return run
 
 
@@ -271,13 +287,13 @@ def _candidates(classes: DataFrame, most: int, percent: int) -> DataFrame:
 
 
 def _whole(classes: DataFrame, candidates: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
-    """(c, n, set) of the candidates; only their texts are read again."""
+    """(c, n, set, bits) of the candidates; only their texts are read again."""
     named = fixed(classes.join(candidates, "c", "left_semi").select("c", "n", "key", "least"))
     ids = named.select(F.col("least").alias("id")).distinct()
     texts = docs.join(F.broadcast(ids) if named.count() <= BROADCAST_IDS else ids, "id", "left_semi").select("text")
-    sets = texts.mapInArrow(_whole_sets(shingle), "key binary, set array<long>")
+    sets = texts.mapInArrow(_whole_sets(shingle), "key binary, set array<long>, bits array<long>")
     # rows that repeat an id bring other texts, or one text again: one set for each key
-    return sets.join(named, "key").groupBy("c", "n").agg(F.first("set").alias("set"))
+    return sets.join(named, "key").groupBy("c", "n").agg(F.first("set").alias("set"), F.first("bits").alias("bits"))
 
 
 def _lists(sets: DataFrame, percent: int) -> DataFrame:
@@ -310,12 +326,13 @@ def _heavy_links(classes: DataFrame, docs: DataFrame, most: int, shingle: int, p
     placed = lists.join(groups.withColumnRenamed("node", "c"), "c", "left").select("e", "c", "n", "place", F.coalesce("root", "c").alias("g"))
     parts = placed.groupBy("e", "g").agg(F.count("*").alias("k"))
     main = parts.groupBy("e").agg(F.max(F.struct("k", "g")).alias("top"), F.count("*").alias("groups")).where("groups > 1")
-    open_lists = fixed(placed.join(main.select("e", F.col("top.g").alias("main")), "e"))
+    open_lists = fixed(placed.join(main.select("e", F.col("top.g").alias("main")), "e").join(sets.select("c", "bits"), "c"))
     few = open_lists.where("g <> main").select(
-        "e", F.col("c").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("g").alias("ga"))
-    rest = open_lists.select("e", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("g").alias("gb"), "main")
+        "e", F.col("c").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("g").alias("ga"), F.col("bits").alias("bits_a"))
+    rest = open_lists.select("e", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("g").alias("gb"), "main", F.col("bits").alias("bits_b"))
     # two sets outside of the main component meet once
-    met = few.join(rest, "e").where((F.col("ga") != F.col("gb")) & ((F.col("gb") == F.col("main")) | (F.col("a") < F.col("b"))))
+    met = few.join(rest, "e").where((F.col("ga") != F.col("gb")) & ((F.col("gb") == F.col("main")) | (F.col("a") < F.col("b")))
+                                   & _alike(F.col("na"), F.col("nb"), percent))
     second = _verified(fixed(_likely(met, most, percent)), sets, percent)
     return first.unionByName(second)
 
